@@ -1,14 +1,15 @@
 """MinHash near-dedup by an inverted join on signature coordinates.
 
-Every document is a set of k-word shingles, signed with K minima. Documents are posted under
-(coordinate, value). Two documents that agree on T of K coordinates agree on one of the first
-K - T + 1 already, so only that prefix is posted, and a pair counts only in its first shared
-posting. Counting is done against the whole signature; pairs of T or more matches are confirmed
-on the full shingle sets, read from the texts.
-
-Groups of copies cost no pairs: equal sets become one representative first, and each posting
-first offers its smallest document alone as a partner. Only documents of different components
-are compared after that. Long postings are split by a second coordinate, which loses no pair.
+Every document is a set of k-word shingles, signed with K minima; equal sets become one representative
+first. Representatives are posted under (coordinate, value). Two documents that agree on T of K
+coordinates agree on one of the first K - T + 1 already, so only that prefix is posted, and postings
+of one document are skipped. Within a posting, collisions are counted against whole signatures, and
+documents of T or more are gathered into candidate clusters: a search that compares each document it
+reaches with those not reached yet, so that a dense group costs little more than its size. Long
+postings are split by a second coordinate, which loses no pair, and then into pairs of blocks.
+
+Clusters are then read with their texts, and all links within them are decided on the full shingle
+sets, block against block. No step emits all pairs of a group: both return a forest of links.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.common import cut, real_id, slices, small, texts_of, utf8
+from kinfold.llm.common import NO_ID, cut, partitions, real_id, slices, small, texts_of, utf8
 from kinfold.llm.components import components
 
-#: A posting of more documents is split by a further coordinate.
-LONG = 1500
+#: A posting of more documents is split by a second coordinate, and what is still longer into pairs of blocks.
+LONG = 2000
+#: Documents of a block of a cluster.
+BLOCK = 256
 
 
 def match_threshold(coordinates: int, percent: int) -> int:
@@ -77,75 +80,143 @@ def signatures(docs: DataFrame, k: int, coordinates: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, one long, two long, sig array<int>")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are at least `percent` alike."""
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    held = docs.join(small(ends), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"))
-    both = pairs.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-
-    def check(batches):
-        for batch in batches:
-            left, right = batch.column("text_a"), batch.column("text_b").dictionary_encode()
-            codes = right.indices.to_numpy()
-            known = []
-            for _, _, flat, at in _sets(right.dictionary, k):
-                known += [flat[at[i] : at[i + 1]] for i in range(len(at) - 1)]
-            good = np.zeros(len(left), bool)
-            for i, j, flat, at in _sets(left, k):
-                for r in range(i, j):
-                    x, y = flat[at[r - i] : at[r - i + 1]], known[codes[r]]
-                    if not len(x) or not len(y):
-                        continue
-                    place = np.searchsorted(y, x)
-                    place[place == len(y)] = 0
-                    same = int((y[place] == x).sum())
-                    good[r] = 100 * same >= percent * (len(x) + len(y) - same)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in (batch.column("a"), batch.column("b"))], names=["a", "b"])
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
-
-
-def _split_pairs(rows: DataFrame, k_match: int, coordinates: int) -> DataFrame:
-    """a, b, matches: pairs of different components that agree often enough, each from its first shared posting.
-
-    rows: doc_id, root, sig, j, v and, for parts of long postings, j2, v2 (else -1, 0).
-    """
-
-    def compare(keys, held):
-        j, j2 = keys[0].as_py(), keys[2].as_py()
-        ids = held.column("doc_id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids, roots = ids[order], held.column("root").to_numpy()[order]
-        sig = np.stack(held.column("sig").to_numpy()).astype(np.int32)[order]
-        out = [[], [], []]
-        for x in range(0, len(ids), 256):
-            for y in range(x, len(ids), 256):
-                a, b = slice(x, x + 256), slice(y, y + 256)
-                apart = (roots[a, None] != roots[None, b]) & (ids[a, None] < ids[None, b])
-                if not apart.any():
-                    continue
-                p, q = np.nonzero(apart)
-                same = sig[x + p] == sig[y + q]
-                count = same.sum(1)
-                first = same.argmax(1) == j
-                if j2 >= 0:
-                    first &= same[:, j + 1 :].argmax(1) + j + 1 == j2
-                keep = (count >= k_match) & first
-                out[0].append(ids[x + p[keep]])
-                out[1].append(ids[y + q[keep]])
-                out[2].append(count[keep])
-        flat = [np.concatenate(o).astype(np.int64) if o else np.zeros(0, np.int64) for o in out]
-        return pa.table(flat, names=["a", "b", "matches"])
-
-    return rows.groupBy("j", "v", "j2", "v2").applyInArrow(compare, "a long, b long, matches long")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordinates: int = 48) -> DataFrame:
+def _groups(batches, keys: list[str]):
+    """Tables of whole groups from batches that are sorted by the keys, many groups at a time; the keys numbered."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        change = np.zeros(held.num_rows, bool)
+        for name in keys:
+            x = held.column(name).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        last = int(np.flatnonzero(change)[-1]) if change.any() else 0
+        if last:
+            yield held.slice(0, last), np.cumsum(change[:last])
+            held = held.slice(last)
+    if held is not None:
+        change = np.zeros(held.num_rows, bool)
+        for name in keys:
+            x = held.column(name).to_numpy()
+            change[1:] |= x[1:] != x[:-1]
+        yield held, np.cumsum(change)
+
+
+def _blocks(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Groups of more than `size` rows become pairs of blocks: adds x and y, the numbers of the blocks."""
+    counted = rows.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), keys)
+    blocks = F.ceil(F.col("n") / size).cast("int")
+    counted = counted.withColumn("x", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return counted.withColumns({"x": F.least("x", "y"), "y": F.greatest("x", "y")}).drop("n")
+
+
+def _sorted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys)
+
+
+def _linked(ids: np.ndarray, alike) -> tuple[list[int], list[int]]:
+    """A forest over the rows that are alike; alike(i, others) marks the others that are like row i."""
+    a, b = [], []
+    left = np.arange(len(ids))
+    while len(left):
+        root, left = left[0], left[1:]
+        found = [root]
+        while found and len(left):
+            i = found.pop()
+            hit = alike(i, left)
+            if hit.any():
+                new = left[hit]
+                a += ids[new].tolist()
+                b += [int(ids[root])] * len(new)
+                found += new.tolist()
+                left = left[~hit]
+    return a, b
+
+
+def _candidates(rows: DataFrame, keys: list[str], enough: int) -> DataFrame:
+    """a, b: links that join the documents of each group which agree on enough coordinates. rows: keys, doc_id, sig."""
+
+    def search(batches):
+        for held, group in _groups(batches, keys):
+            ids = held.column("doc_id").to_numpy()
+            lists = held.column("sig").combine_chunks()
+            sig = lists.flatten().to_numpy().reshape(len(ids), -1)
+            size = np.bincount(group)
+            short = size[group] <= 8
+            a, b = [], []
+            for d in range(1, 8):  # short groups all at once
+                r = np.flatnonzero(short[:-d] & (group[:-d] == group[d:]))
+                for r in np.array_split(r, len(r) // 50_000 + 1):
+                    r = r[(sig[r] == sig[r + d]).sum(1) >= enough]
+                    a += ids[r].tolist()
+                    b += ids[r + d].tolist()
+            start = np.cumsum(size) - size
+            for g in np.flatnonzero(size > 8).tolist():
+                own = sig[start[g] : start[g] + size[g]]
+                turned = np.ascontiguousarray(own.T)
+
+                def alike(i, others, own=own, turned=turned):
+                    if len(others) == len(own):
+                        return (turned == own[i][:, None]).sum(0) >= enough
+                    return (turned[:, others] == own[i][:, None]).sum(0) >= enough
+
+                more = _linked(ids[start[g] : start[g] + size[g]], alike)
+                a += more[0]
+                b += more[1]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return _sorted(rows, keys).mapInArrow(search, "a long, b long").distinct()
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets share, by products of slices of their incidence matrix."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    column = np.unique(flat, return_inverse=True)[1]
+    often = np.bincount(column) > 1
+    column, owner = (np.cumsum(often) - 1)[column[often[column]]], owner[often[column]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    total = int(often.sum())
+    for lo in range(0, total, 4096):
+        a, b = np.searchsorted(column, (lo, lo + 4096))
+        part = np.zeros((len(sets), min(4096, total - lo)), np.float32)
+        part[owner[a:b], column[a:b] - lo] = 1
+        out += part @ part.T
+    return out
+
+
+def _confirmed(rows: DataFrame, keys: list[str], k: int, percent: int) -> DataFrame:
+    """a, b: links that join the documents of each group whose full sets are `percent` alike. rows: keys, doc_id, text."""
+
+    def decide(batches):
+        for held, group in _groups(batches, keys):
+            ids = held.column("doc_id").to_numpy()
+            text = held.column("text")
+            a, b = [], []
+            ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(ids))
+            for lo, hi in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+                sets = []
+                for _, _, flat, at in _sets(text.slice(lo, hi - lo), k):
+                    sets += [flat[at[i] : at[i + 1]] for i in range(len(at) - 1)]
+                size = np.array([len(x) for x in sets], np.float64)
+                same = _common(sets)
+                linked = 100 * same >= percent * (size[:, None] + size[None, :] - same)
+                more = _linked(ids[lo:hi], lambda i, others, linked=linked: linked[i, others])
+                a += more[0]
+                b += more[1]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return _sorted(rows, keys).mapInArrow(decide, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordinates: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
     docs: doc_id and text, other columns are ignored. Null texts and texts without words have no
-    shingles and link with nothing; equal texts are always linked; a null doc_id counts as the smallest.
+    shingles and link with nothing; equal sets are always linked; a null doc_id counts as the smallest.
     Rows that repeat a doc_id share its component. An empty table gives an empty result.
     """
     docs = texts_of(docs)
@@ -154,43 +225,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordi
     signed = cut(signatures(docs, shingle, coordinates))
     key = ["n_shingles", "one", "two"]
     filled = signed.filter("n_shingles > 0")
-    owners = filled.groupBy(*key).agg(F.min_by("doc_id", "doc_id").alias("rep"))
+    owners = filled.groupBy(*key).agg(F.min("doc_id").alias("rep"))
     member = filled.select("doc_id", *key).join(owners, key).select("doc_id", "rep")
-    copies = member.filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = filled.join(owners.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").select("doc_id", "sig").dropDuplicates(["doc_id"])
-    reps = cut(reps)
+    reps = cut(filled.join(owners.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").select("doc_id", "sig").dropDuplicates(["doc_id"]))
 
     posted = reps.select("doc_id", F.posexplode(F.slice("sig", 1, prefix)).alias("j", "v"))
-    heads = posted.groupBy("j", "v").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).filter("head != last").select("j", "v", "head")
-    tries = posted.join(heads, ["j", "v"]).filter("doc_id != head").select("doc_id", "head").distinct()
-    matches = F.expr("aggregate(zip_with(sig, head_sig, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
-    tries = tries.join(reps, "doc_id").join(reps.select(F.col("doc_id").alias("head"), F.col("sig").alias("head_sig")), "head")
-    stars = tries.withColumn("m", matches).filter(F.col("m") >= enough).groupBy("doc_id").agg(F.min("head").alias("b")).select(F.col("doc_id").alias("a"), "b")
-    links = cut(_confirmed(cut(stars), docs, shingle, percent))
-    roots = components(links)
-
-    def rooted(frame: DataFrame, node: str, root: str) -> DataFrame:
-        return frame.join(roots.select(F.col("node").alias(node), F.col("root").alias("_r")), node, "left").withColumn(root, F.coalesce("_r", node)).drop("_r")
-
-    posts = rooted(posted, "doc_id", "root")
-    lists = posts.groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("j", "v", "n")
-    open_rows = posts.join(lists, ["j", "v"]).join(reps, "doc_id")
-    short = open_rows.filter(F.col("n") <= LONG).select("doc_id", "root", "sig", "j", "v", F.lit(-1).alias("j2"), F.lit(0).alias("v2"))
-    later = F.posexplode(F.slice("sig", 1, prefix + 1)).alias("j2", "v2")
-    long = open_rows.filter(F.col("n") > LONG).select("doc_id", "root", "sig", "j", "v", later).filter("j2 > j")
-    rest = cut(_split_pairs(short.unionByName(long), enough, coordinates))
-
-    def different(pairs: DataFrame) -> DataFrame:
-        return rooted(rooted(pairs, "a", "ra"), "b", "rb").filter("ra != rb")
-
-    best = rest.groupBy("b").agg(F.max_by("a", F.struct("matches", -F.col("a"))).alias("a")).select("a", "b")
-    for pairs in (lambda: best, lambda: different(rest).select("a", "b")):
-        wanted = cut(pairs())
-        if not wanted.isEmpty():
-            links = cut(links.unionByName(_confirmed(wanted, docs, shingle, percent)))
-            roots = components(links)
-
-    whole = rooted(member, "rep", "root").groupBy("doc_id").agg(F.min("root").alias("root"))
+    lists = posted.groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = posted.join(lists, ["j", "v"]).join(reps, "doc_id")
+    short = _candidates(met.filter(F.col("n") <= LONG).select("j", "v", "doc_id", "sig"), ["j", "v"], enough)
+    second = F.posexplode(F.slice("sig", 1, prefix + 1)).alias("j2", "v2")
+    again = met.filter(F.col("n") > LONG).select("j", "v", "doc_id", "sig", second).filter("j2 > j")
+    keys = ["j", "v", "j2", "v2"]
+    long = _candidates(_blocks(again, keys, LONG), [*keys, "x", "y"], enough)
+    clusters = components(short.unionByName(long))
+
+    near = clusters.select(F.col("node").alias("doc_id"), "root").union(clusters.select("root", "root").distinct())
+    spread = cut(_blocks(near, ["root"], BLOCK))
+    texts = docs.join(small(near.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    roots = components(_confirmed(texts.join(spread, "doc_id"), ["root", "x", "y"], shingle, percent))
+
+    whole = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("root"))
     out = signed.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
     out = out.withColumn("component", F.coalesce("root", "doc_id"))
-    return out.select(real_id(), "n_shingles", F.nullif("component", F.lit(-(2**63))).alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+    return out.select(real_id(), "n_shingles", F.nullif("component", F.lit(NO_ID)).alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
