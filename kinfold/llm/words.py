@@ -33,12 +33,13 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return data + (((data >= 65) & (data <= 90)).astype(np.uint8) << np.uint8(5))
 
 
-def spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word [^\\x20\\x09-\\x0D]+, and the number of words of each text."""
+def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word [^\\x20\\x09-\\x0D]+ (or run of bytes marked inside), and the number of words of each text."""
     n, rows = len(data), len(at) - 1
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(rows, np.int64)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if inside is None:
+        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(n + 1, bool)
     edge[at] = True
     before = np.empty(n, bool)
