@@ -4,10 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kinfold.llm.agenda_pieces import encode_decode
 from kinfold.llm.common import table
 from kinfold.llm.minhash_join import near_duplicates
+from kinfold.llm.packing import pack
+from kinfold.llm.quality_fm import quality
+from kinfold.llm.toxicity import toxicity
+from kinfold.llm.vector_dedup import linked_vectors
+from kinfold.llm.winnowing import fingerprints
+
+
+def op1_pstable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +46,12 @@ def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pstable_vectors": op1_pstable_vectors,
+    "op3_ftrl_toxicity": op3_ftrl_toxicity,
+    "op4_fm_quality": op4_fm_quality,
+    "op5_lp_packing": op5_lp_packing,
+    "op6_winnowing": op6_winnowing,
+    "op8_agenda_pieces": op8_agenda_pieces,
     "op10_minhash_join": op10_minhash_join,
 }
 
