@@ -12,6 +12,7 @@ from kinfold.llm.common import table
 from kinfold.llm.minhash_join import near_duplicates
 from kinfold.llm.packing import pack
 from kinfold.llm.quality_fm import quality
+from kinfold.llm.suffix_dedup import digest
 from kinfold.llm.toxicity import toxicity
 from kinfold.llm.vector_dedup import linked_vectors
 from kinfold.llm.winnowing import fingerprints
@@ -21,6 +22,10 @@ def op1_pstable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(table(spark, sf_dir, "documents"), length=100)
+
+
 def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +52,7 @@ def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pstable_vectors": op1_pstable_vectors,
+    "op2_suffix_arrays": op2_suffix_arrays,
     "op3_ftrl_toxicity": op3_ftrl_toxicity,
     "op4_fm_quality": op4_fm_quality,
     "op5_lp_packing": op5_lp_packing,
