@@ -269,23 +269,26 @@ def _merged(rows: DataFrame, spec: Windows) -> DataFrame:
             ends = np.append(np.flatnonzero((np.diff(group) != 0)) + 1, len(group))
             out = []
             for a, b in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
-                runs = np.append(np.flatnonzero(np.diff(shard[a:b])) + 1, b - a) + a
-                known = np.arange(a, runs[0])  # the earliest occurrence so far of each window, in order of windows
-                for x, y in zip(runs[:-1].tolist(), runs[1:].tolist(), strict=True):
-                    run = np.arange(x, y)
+                # the earliest occurrence so far of each window, in order of windows
+                own = np.arange(a, b)
+                first = np.append(True, (window[a + 1 : b] != window[a : b - 1]) | (shard[a + 1 : b] != shard[a : b - 1]))
+                runs = np.split(own[first], np.flatnonzero(np.diff(shard[own[first]])) + 1)
+                known = runs[0]
+                for run in runs[1:]:
                     place = np.searchsorted(window[known], window[run])
                     hit = np.minimum(place, len(known) - 1)
                     same = window[known[hit]] == window[run]
                     old, new = known[hit[same]], run[same]
                     later = (doc[new] > doc[old]) | ((doc[new] == doc[old]) & (lo[new] > lo[old]))
-                    out.append(np.where(later, new, old)[spec.within | (doc[new] != doc[old])])
                     known[hit[same]] = np.where(later, old, new)
                     known = np.insert(known, place[~same], run[~same])
+                least = known[np.searchsorted(window[known], window[own])]
+                out.append(own[(doc[own] != doc[least]) | (spec.within & (lo[own] != lo[least]))])
             found = np.concatenate(out) if out else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(doc[found]), pa.array(lo[found]), pa.array(np.ones(len(found), np.int64))], names=["doc_id", "lo", "n"])
 
     rows = rows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(64)).cast("int"))
-    rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys, "shard", "window")
+    rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys, "shard", "window", "doc_id", "lo")
     return rows.mapInArrow(merge, "doc_id long, lo long, n long")
 
 

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kinfold.llm.agenda_pieces import encode_decode
+from kinfold.llm.automaton_dedup import digest as word_digest
 from kinfold.llm.common import table
 from kinfold.llm.minhash_join import near_duplicates
 from kinfold.llm.packing import pack
 from kinfold.llm.quality_fm import quality
-from kinfold.llm.suffix_dedup import digest
+from kinfold.llm.suffix_dedup import digest as byte_digest
 from kinfold.llm.toxicity import toxicity
 from kinfold.llm.vector_dedup import linked_vectors
 from kinfold.llm.winnowing import fingerprints
@@ -23,7 +24,7 @@ def op1_pstable_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(table(spark, sf_dir, "documents"), length=100)
+    return byte_digest(table(spark, sf_dir, "documents"), length=100)
 
 
 def op3_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_digest(table(spark, sf_dir, "documents"), length=50)
+
+
 def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fm_quality": op4_fm_quality,
     "op5_lp_packing": op5_lp_packing,
     "op6_winnowing": op6_winnowing,
+    "op7_suffix_automata": op7_suffix_automata,
     "op8_agenda_pieces": op8_agenda_pieces,
     "op10_minhash_join": op10_minhash_join,
 }
