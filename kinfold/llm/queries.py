@@ -12,6 +12,7 @@ from kinfold.llm.automaton_dedup import digest as word_digest
 from kinfold.llm.common import table
 from kinfold.llm.minhash_join import near_duplicates
 from kinfold.llm.packing import pack
+from kinfold.llm.pii import digest as pii_digest
 from kinfold.llm.quality_fm import quality
 from kinfold.llm.suffix_dedup import digest as byte_digest
 from kinfold.llm.toxicity import toxicity
@@ -51,6 +52,10 @@ def op8_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_winnowing": op6_winnowing,
     "op7_suffix_automata": op7_suffix_automata,
     "op8_agenda_pieces": op8_agenda_pieces,
+    "op9_boosted_pii": op9_boosted_pii,
     "op10_minhash_join": op10_minhash_join,
 }
 
