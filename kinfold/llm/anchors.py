@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinfold.llm import words
-from kinfold.llm.common import cut, partitions, slices, utf8
+from kinfold.llm.common import cut, free, partitions, slices, utf8
 from kinfold.llm.minhash_join import _groups
 
 #: Contexts of one gram that one shard holds.
@@ -157,6 +157,8 @@ def _settled(parts: list[tuple], within: bool) -> pa.RecordBatch:
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
     repeat = (doc != doc[head]) | (within & (lo != lo[head]))
     g = np.where(repeat, words.mix(doc.view(np.uint64) + lo.astype(np.uint64)), g)  # known repeats are spread evenly
+    order = np.lexsort((lo, doc))  # rows in the order of the texts take less room in the shuffle
+    g, c, doc, lo, n, repeat = g[order], c[order], doc[order], lo[order], n[order], repeat[order]
     return pa.RecordBatch.from_arrays(
         [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(np.where(repeat, _pack(lo, n, 1), _pack(lo, n, 0)))],
         names=["g", "c", "doc_id", "packed"],
@@ -196,7 +198,7 @@ def _spotted(docs: DataFrame, spec: Windows) -> DataFrame:
     known = F.col("later") | (F.col("packed").bitwiseAND(F.lit(1)) == 1)
     shards = F.when(F.col("kinds") > SHARD, 1 + F.floor((F.col("number") - 1) / SHARD)).otherwise(F.lit(0))
     shard = F.when(~known, shards.cast("int"))
-    return rows.filter(known | (F.col("kinds") > 1)).select("doc_id", "packed", "g", shard.alias("shard"))
+    return rows.filter(known | (F.col("kinds") > 1)).select("doc_id", "packed", F.when(~known, F.col("g")).alias("g"), shard.alias("shard"))
 
 
 def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
@@ -210,7 +212,7 @@ def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
             lists = batch.column("wanted")
             ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             flat = lists.flatten()
-            packed, gram = flat.field("packed").to_numpy(), flat.field("g").to_numpy()
+            packed, gram = flat.field("packed").to_numpy(), flat.field("g").fill_null(0).to_numpy()
             shard = flat.field("shard").fill_null(-1).to_numpy()
             for i, j in slices(utf8(column)[1], spec.chunk):
                 units, at = spec.units(column.slice(i, j - i))
@@ -334,7 +336,9 @@ def repeats(docs: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
     (context numbers and starts in the document), kept windows (likewise) and their names as equal-length bytes.
     """
     fetched = cut(_fetched(docs, _spotted(docs, spec), spec))
+    free(docs.sparkSession)
     solved = cut(_solved(fetched.filter("shard >= 0"), spec, solve))
+    free(docs.sparkSession)
     merged = _merged(solved.filter("window IS NOT NULL").select("g", "shard", "doc_id", "lo", "window"), spec)
     found = fetched.filter("shard < 0").select("doc_id", "lo", "n")
     found = found.unionByName(solved.filter("window IS NULL").select("doc_id", "lo", "n")).unionByName(merged)

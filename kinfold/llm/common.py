@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zlib
 
@@ -18,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts_of(docs: DataFrame) -> DataFrame:
-    """doc_id (long, NO_ID for null) and text ('' for null); all other columns go."""
+def texts_of(docs: DataFrame, *more) -> DataFrame:
+    """doc_id (long, NO_ID for null), text ('' for null) and `more`; all other columns go."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
+        *more,
     )
 
 
@@ -40,6 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more, as after a cut()."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

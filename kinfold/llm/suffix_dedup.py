@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, repeats
 from kinfold.llm.common import real_id, texts_of, utf8
 
-GRAM = 32
+GRAM = 24
 
 
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
@@ -122,8 +122,8 @@ def byte_windows(length: int) -> Windows:
     return Windows(length, min(GRAM, max(1, length // 3)), byte_units, byte_values, within=True)
 
 
-def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False) -> DataFrame:
-    """doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans of every row.
+def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns `keep`, kept (the remaining bytes), n_bytes, n_removed, n_spans of every row.
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a smaller doc_id, or in
     the same document further to the front. With whole_characters, a character of which only some bytes
@@ -132,6 +132,8 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False)
     """
     rows = texts_of(docs)
     found = repeats(rows, byte_windows(length), solve)
+    carried = [f"_{i}" for i in range(len(keep))]  # names that can't clash
+    rows = texts_of(docs, *[F.col(c).alias(n) for c, n in zip(keep, carried, strict=True)])
 
     def apply(batches):
         for batch in batches:
@@ -162,9 +164,14 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False)
             for end in ends:
                 kept.append(left[begin:end])
                 begin = end
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.binary()), pa.array(np.diff(at)), pa.array(removed), pa.array(spans)], names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
-
-    return rows.join(found, "doc_id", "left").mapInArrow(apply, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(batch.column(c) for c in carried), pa.array(kept, pa.binary()), pa.array(np.diff(at)), pa.array(removed), pa.array(spans)],
+                names=["doc_id", *carried, "kept", "n_bytes", "n_removed", "n_spans"],
+            )
+
+    schema = "doc_id long, " + "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in carried)
+    out = rows.join(found, "doc_id", "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+    return out.withColumnsRenamed(dict(zip(carried, keep, strict=True)))
 
 
 def digest(docs: DataFrame, length: int = 100) -> DataFrame:
