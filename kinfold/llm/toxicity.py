@@ -40,7 +40,7 @@ def features(column: pa.Array):
         part, own = words.lowered(data[at[i] : at[j]]), at[i : j + 1] - at[i]
         starts, ends, counts = words.spans(part, own, letters(part))
         w = words.hashes(part, starts, ends)
-        heads = [words.hashes(part, starts, np.minimum(starts + n, ends)) + np.uint64(n) * words.powers(2)[1] for n in BEGINNINGS]
+        heads = [words.hashes(part, starts, np.minimum(starts + n, ends)) + np.uint64(n << 56) for n in BEGINNINGS]
         pair = words.mix(w[:-1] * np.uint64(3) + w[1:])
         skip = words.mix(w[:-2] * np.uint64(5) + w[2:] + np.uint64(1))
         one, pair, skip, *heads = ((x >> shift).astype(np.int32) for x in (w, pair, skip, *(words.mix(h) for h in heads)))
