@@ -17,6 +17,11 @@ KEEP_RIGHT = ("(?i)as .* by .* of", "(?i)on behalf of", "(?i)as .* by", "(?i)c/o
 KEEP_LEFT = ("(?i)also trading as", "(?i)acting by and through")
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value planned and computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def spaced(name: Column, marks: str = SPACED) -> Column:
     return F.translate(name, marks, " " * len(marks))
 
@@ -43,10 +48,16 @@ def corrected(rows: DataFrame, token: str, words: DataFrame, threshold: int = 2,
 
 
 def without_phrases(name: Column, phrases: tuple[str, ...] = STOP_PHRASES) -> Column:
-    """Takes the phrases out one after the other: their order matters."""
-    for phrase in phrases:
-        name = F.trim(F.regexp_replace(name, r"\b" + re.escape(phrase) + r"\b", " "))
-    return name
+    """Takes the phrases out one after the other: their order matters. Only those that a name holds are tried as patterns."""
+    if not phrases:
+        return F.trim(name)
+    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(r"\b" + re.escape(p) + r"\b").alias("r")) for p in phrases])
+
+    def out(name: Column) -> Column:
+        held = F.filter(table, lambda x: F.contains(name, x["p"]))
+        return F.aggregate(held, F.trim(name), lambda acc, x: F.trim(F.regexp_replace(acc, x["r"], F.lit(" "))))
+
+    return let(name, out)
 
 
 def squeezed(name: Column) -> Column:
@@ -55,18 +66,22 @@ def squeezed(name: Column) -> Column:
 
 def normalized(name: Column, phrases: tuple[str, ...] = STOP_PHRASES) -> Column:
     """Marks to spaces, abbreviations in full, phrases out, lower case, what isn't ASCII to a space."""
-    out = without_phrases(expanded(spaced(name)), phrases)
-    return F.regexp_replace(squeezed(F.lower(out)), r"[^\x00-\x7F]", " ")
+    out = without_phrases(F.lower(expanded(spaced(name))), phrases)  # phrases with capitals never match
+    return F.regexp_replace(squeezed(out), r"[^\x00-\x7F]", " ")
 
 
 def split_name(name: Column) -> Column:
     """The part after (or before) a phrase of agency, if the phrase occurs once."""
-    out = name
-    for side, patterns in ((0, KEEP_LEFT), (1, KEEP_RIGHT)):
-        for pattern in reversed(patterns):
-            parts = F.split(name, pattern, -1)
-            out = F.when(F.size(parts) == 2, F.get(parts, F.lit(side))).otherwise(out)
-    return out
+
+    def choose(name: Column) -> Column:
+        out = name
+        for side, patterns in ((0, KEEP_LEFT), (1, KEEP_RIGHT)):
+            for pattern in reversed(patterns):
+                parts = F.split(name, pattern, -1)
+                out = F.when(F.size(parts) == 2, F.get(parts, F.lit(side))).otherwise(out)
+        return out
+
+    return let(name, choose)
 
 
 def clean(name: Column) -> Column:
@@ -91,20 +106,27 @@ def without_words(name: Column, words: tuple[str, ...]) -> Column:
 
 def relaxed_key(name: Column, uuid: Column, words: tuple[str, ...] = ()) -> Column:
     """A key without spaces from the cleaned name; else the name, else the uuid."""
-    low = F.lower(clean(split_name(name)))
-    kept = without_words(low, words)
-    kept = F.when(F.length(kept) <= 2, low).otherwise(kept)
-    pick = [F.nullif(x, F.lit("")) for x in (F.translate(kept, " ", ""), kept, low, clean(split_name(name)), name)]
-    return F.coalesce(*pick, uuid)
+
+    def key(cleaned: Column) -> Column:
+        low = F.lower(cleaned)
+        kept = without_words(low, words)
+        kept = F.when(F.length(kept) <= 2, low).otherwise(kept)
+        return F.coalesce(*[F.nullif(x, F.lit("")) for x in (F.translate(kept, " ", ""), kept, low, cleaned)])
+
+    return F.coalesce(let(clean(split_name(name)), key), F.nullif(name, F.lit("")), uuid)
 
 
 def key_and_canopies(name: Column, uuid: Column, phrases: tuple[str, ...] = STOP_PHRASES) -> tuple[Column, Column]:
     """The roll-up key, and the blocks: first four letters of each token of three or more, acronyms of the raw name, else the key."""
-    cleaned = clean(split_name(normalized(name, phrases)))
-    key = F.coalesce(F.nullif(F.translate(cleaned, " ", ""), F.lit("")), F.nullif(cleaned, F.lit("")), F.nullif(name, F.lit("")), uuid)
-    heads = F.filter(F.transform(F.split(cleaned, " "), lambda t: F.substring(t, 1, 4)), lambda t: F.length(t) >= 3)
-    blocks = F.concat(heads, F.filter(F.transform(acronyms(name), F.lower), lambda t: t != ""))
-    return key, F.when(F.size(blocks) > 0, blocks).otherwise(F.array(key))
+
+    def both(cleaned: Column) -> Column:
+        key = F.coalesce(F.nullif(F.translate(cleaned, " ", ""), F.lit("")), F.nullif(cleaned, F.lit("")), F.nullif(name, F.lit("")), uuid)
+        heads = F.filter(F.transform(F.split(cleaned, " "), lambda t: F.substring(t, 1, 4)), lambda t: F.length(t) >= 3)
+        blocks = F.concat(heads, F.filter(F.transform(acronyms(name), F.lower), lambda t: t != ""))
+        return F.struct(key.alias("key"), F.when(F.size(blocks) > 0, blocks).otherwise(F.array(key)).alias("blocks"))
+
+    out = let(clean(split_name(normalized(name, phrases))), both)
+    return out["key"], out["blocks"]
 
 
 def simple(name: Column) -> Column:
