@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinfold.llm.common import real_id, texts_of
+from kinfold.llm.common import cut, real_id, small, texts_of
 
 K, WINDOW, CUT = 3, 6, 24
 #: Consecutive document ids that are put in order in one group.
-RUN = 256
+RUN = 512
 _LAST = (1 << 30) - 1
 
 
@@ -73,26 +73,26 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds next_<column> of the next row by ascending doc_id (after the last: the first).
+def with_next(docs: DataFrame, derive, columns: list[str]) -> DataFrame:
+    """derive(docs) with next_<column> of the next row by ascending doc_id (after the last: the first).
 
     Rows are grouped by runs of ids; the first row of every group is copied to the group before it, so that no
     task sees more than a run. Only group numbers, one for RUN ids, are put in order across groups, first
     within runs of groups and then between those.
     """
-    docs = docs.withColumn("run", F.floor(F.col("doc_id") / RUN).cast("long"))
-    firsts = docs.groupBy("run").agg(F.min("doc_id").alias("doc_id"))
+    run = F.floor(F.col("doc_id") / RUN).cast("long")
+    firsts = docs.groupBy(run.alias("run")).agg(F.min("doc_id").alias("doc_id"))
     far = firsts.withColumn("far", F.floor(F.col("run") / 4096).cast("long"))
     edge = far.groupBy("far").agg(F.min("run").alias("first_run"))
     whole = Window.orderBy("far").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edge = edge.select("far", F.lead("first_run").over(Window.orderBy("far")).alias("after"), F.first("first_run").over(whole).alias("zero"))
     inner = far.withColumn("next_run", F.lead("run").over(Window.partitionBy("far").orderBy("run")))
     following = inner.join(edge.select("far", F.coalesce("after", "zero").alias("after")), "far").select("run", F.coalesce("next_run", "after").alias("next_run"))
-    # the first row of next_run is wanted in run
-    copies = firsts.join(following.select(F.col("next_run").alias("run"), F.col("run").alias("to")), "run").select("doc_id", "to")
-    copied = docs.join(copies, "doc_id").groupBy("to").agg(F.min(F.struct("doc_id", *columns)).alias("r"))
+    # the first row of next_run is wanted in run; only these few rows are read again
+    copies = cut(firsts.join(following.select(F.col("next_run").alias("run"), F.col("run").alias("to")), "run").select("doc_id", "to"))
+    copied = derive(docs.join(small(copies), "doc_id")).groupBy("to").agg(F.min(F.struct("doc_id", *columns)).alias("r"))
     copied = copied.select(F.col("r.doc_id").alias("doc_id"), *[F.col(f"r.{c}").alias(c) for c in columns], F.col("to").alias("run"), F.lit(1).alias("extra"))
-    rows = docs.select("doc_id", *columns, "run", F.lit(0).alias("extra")).unionByName(copied)
+    rows = derive(docs.withColumn("run", run)).select("doc_id", *columns, "run", F.lit(0).alias("extra")).unionByName(copied)
     order = Window.partitionBy("run").orderBy("extra", "doc_id", *columns)
     return rows.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).filter("extra = 0")
 
@@ -104,8 +104,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     repeat a doc_id stand next to each other by text; a null doc_id comes first. Other columns are ignored.
     """
     # fingerprints need no neighbours: they are made before the one shuffle of the texts
-    rows = texts_of(docs).select("doc_id", "text", selected(F.col("text")).alias("chosen"))
-    rows = with_next(rows, ["text", "chosen"])
+    rows = with_next(texts_of(docs), lambda d: d.withColumn("chosen", selected(F.col("text"))), ["text", "chosen"])
     n = F.char_length("text")
     tail = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - tail), F.substring(F.col("next_text"), F.lit(1), tail))
