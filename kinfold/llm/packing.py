@@ -174,8 +174,11 @@ def dearest(prices: np.ndarray, sizes: np.ndarray, supply: np.ndarray, capacity:
     return found
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int = 60, step: float = 0.25) -> list[tuple[list[int], int]]:
-    """Configurations (lengths, how often) that hold each length exactly as often as the histogram says."""
+def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None, step: float = 0.5) -> list[tuple[list[int], int]]:
+    """Configurations (lengths, how often) that hold each length exactly as often as the histogram says.
+
+    A round's dynamic program takes capacity * lengths steps, so histograms of few lengths get more rounds.
+    """
     out: list[tuple[list[int], int]] = []
     left = {size: n for size, n in histogram.items() if n > 0}
     if capacity in left:
@@ -184,6 +187,7 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = 60, step: floa
         return out
     sizes = np.array(sorted(left), np.int64)
     need = np.array([left[s] for s in sizes.tolist()], np.float64)
+    rounds = rounds or max(80, min(400, 100_000 // len(sizes)))
     weight = sizes / capacity
     used: dict[tuple, float] = {}
     covered = np.zeros(len(sizes))
