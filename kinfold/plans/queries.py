@@ -432,6 +432,22 @@ def city_parts(spark, d):
     return t(spark, d, "nation").select("n_nationkey", F.array_join(places.city_parts(F.col("n_name")), "|").alias("parts"))
 
 
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
+def date_reformat(spark, d):
+    path = F.concat(F.lit("out/run_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("/ids.tsv"))
+    return t(spark, d, "orders").select("o_orderkey", strings.iso_date(strings.date_in_path(path)).alias("day"))
+
+
+@query("SELECT doc_id, len(list_filter(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '')) AS n FROM documents")
+def sentence_counts(spark, d):
+    return t(spark, d, "documents").select("doc_id", F.size(strings.sentences(F.col("text"))).cast("long").alias("n"))
+
+
+@query("SELECT p_brand, x AS p_name_a, y AS p_name_b, len(list_intersect(string_split(lower(x),' '), string_split(lower(y),' '))) / 2.0::DOUBLE AS ratio FROM " + _BRAND_PAIRS)
+def token_set_pairs(spark, d):
+    return _brand_pairs(spark, d).withColumn("ratio", strings.token_set_ratio(F.col("p_name_a"), F.col("p_name_b")))
+
+
 @query()
 def location_reparse(spark, d):
     rows = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.concat_ws(", ", F.lit("Ft Worth"), "r_name", "n_name").alias("raw"))
@@ -470,9 +486,10 @@ def tfidf_pairs(spark, d):
     return scoring.sparse_dot(scoring.term_weights(rows, "k", "terms"), "k").select("k_a", "k_b", F.round("dot", 6).alias("sim"))
 
 
-@query(f"SELECT uuid, count(*) AS n FROM (SELECT p_name AS uuid, lower(last) AS term FROM {PEOPLE_SQL} GROUP BY 1, 2, l_orderkey) GROUP BY uuid")
+@query(f"WITH c AS (SELECT l_orderkey AS k, lower(last) AS term, count(*) AS tf FROM {PEOPLE_SQL} GROUP BY 1, 2) SELECT k, term, round(tf / sqrt(sum(tf * tf) OVER (PARTITION BY k)), 9) AS w FROM c")
 def hash_and_bag_features(spark, d):
-    return people(spark, d).select("p_name", "l_orderkey").distinct().groupBy(F.col("p_name").alias("uuid")).agg(count())
+    bags = people(spark, d).groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(ppl.last_name(F.col("last"))).alias("terms"))
+    return scoring.term_weights(bags, "k", "terms", tfidf=False).select("k", "term", F.round("w", 9).alias("w"))
 
 
 @query("""WITH s AS (SELECT DISTINCT o_custkey, c_nationkey, date_part('year', o_orderdate) AS y FROM orders JOIN customer ON o_custkey = c_custkey)
