@@ -54,7 +54,7 @@ def partitions(df: DataFrame) -> int:
 
 def small(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
     """ids with a broadcast hint when it is counted to hold few rows; larger sides are joined by a shuffle."""
-    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+    return F.broadcast(ids) if ids.count() <= limit else ids
 
 
 def crc_bucket(ids: np.ndarray, mod: int) -> np.ndarray:
