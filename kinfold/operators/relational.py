@@ -75,13 +75,25 @@ def cascade(rows: DataFrame, table: DataFrame, key: str, value: str, probes: lis
     return out.withColumn(value, F.coalesce(*[F.col(f"_v{i}") for i in n])).drop(*[f"_{x}{i}" for i in n for x in "pkv"])
 
 
+def ranged(rows: DataFrame, *order: Column, value: Column | None = None) -> DataFrame:
+    """Adds `running`: the running sum of value (1 for each row) in a total order.
+
+    Rows are sorted in ranges; each range adds up its own, and only one row for each range is added up across them.
+    """
+    value = F.lit(1).cast("long") if value is None else value
+    held = rows.withColumn("_v", value).repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    sums = held.groupBy("_p").agg(F.sum("_v").alias("_s"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("_p", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_b"))
+    own = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = held.withColumn("_r", F.sum("_v").over(own)).join(F.broadcast(base), "_p")
+    return out.withColumn("running", F.col("_b") + F.col("_r")).drop("_v", "_p", "_r", "_b")
+
+
 def round_robin(sizes: DataFrame, block: str, size: str, chunks: int) -> DataFrame:
-    """Adds chunk: blocks dealt in turn, the largest first. Ranks come from the range partitions of one sort, not from one task."""
-    ordered = sizes.orderBy(F.col(size).desc(), F.col(block).desc())
-    numbered = ordered.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    counts = numbered.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    base = counts.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return numbered.join(F.broadcast(base), "_p").withColumn("chunk", (F.col("_i") + F.col("_b")) % chunks).drop("_p", "_i", "_b", "_c")
+    """Adds chunk: blocks dealt in turn, the largest first."""
+    ranked = ranged(sizes, F.col(size).desc(), F.col(block).desc())
+    return ranked.withColumn("chunk", (F.col("running") - 1) % chunks).drop("running")
 
 
 def batches(sizes: DataFrame, group: str, order: str, size: str, least: int) -> DataFrame:

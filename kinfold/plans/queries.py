@@ -300,8 +300,7 @@ def round_robin_chunks(spark, d):
 
 @query(f"SELECT canopy, n, CAST(sum(n) OVER (ORDER BY canopy ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running FROM (SELECT canopy, count(*) AS n FROM {CANOPY_SQL} GROUP BY canopy)")
 def running_batches(spark, d):
-    # the sizes of canopies by first letters: a running sum over few rows
-    return canopy_sizes(spark, d).withColumn("running", F.sum("n").over(Window.orderBy("canopy").rowsBetween(Window.unboundedPreceding, 0)))
+    return rel.ranged(canopy_sizes(spark, d), F.col("canopy"), value=F.col("n"))
 
 
 @query()
