@@ -144,7 +144,7 @@ def contexts(units: np.ndarray, at: np.ndarray, spec: Windows):
 
 
 def _pack(lo: np.ndarray, count: np.ndarray, flag: int) -> np.ndarray:
-    return (lo << 9) | (count << 1) | flag
+    return (lo << 21) | (count << 1) | flag
 
 
 def _settled(parts: list[tuple], within: bool) -> pa.RecordBatch:
@@ -218,7 +218,7 @@ def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
                 units, at = spec.units(column.slice(i, j - i))
                 own = slice(ends[i], ends[j])
                 row = np.repeat(np.arange(j - i), np.diff(ends[i : j + 1]))
-                lo, n, g, s = packed[own] >> 9, (packed[own] >> 1) & 255, gram[own], shard[own]
+                lo, n, g, s = packed[own] >> 21, (packed[own] >> 1) & 0xFFFFF, gram[own], shard[own]
                 known = s < 0
                 r, a, b = joined(row[known], lo[known], lo[known] + n[known])
                 open_ = np.flatnonzero(~known)
