@@ -19,8 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch while texts pass through Python. Spark's 10,000 take tens of MB in each worker, several times over.
+BATCH = 1000
+
+
+def lean(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH rows; smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def texts_of(docs: DataFrame, *more) -> DataFrame:
     """doc_id (long, NO_ID for null), text ('' for null) and `more`; all other columns go."""
+    lean(docs.sparkSession)
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.common import NO_ID, real_id, slices, texts_of, utf8
+from kinfold.llm.common import NO_ID, lean, real_id, slices, texts_of, utf8
 
 BITS = 18
 BEGINNINGS = (3, 4, 5)
@@ -119,6 +119,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None) -
     kept = np.flatnonzero(weights)
     sent = docs.sparkSession.sparkContext.broadcast((kept.astype(np.int32), weights[kept]))
     keep = keep or ["doc_id"]
+    lean(docs.sparkSession)
 
     def apply(batches):
         at, value = sent.value
