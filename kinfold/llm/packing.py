@@ -25,7 +25,8 @@ from kinfold.llm import words
 from kinfold.llm.bpe import Pairs
 from kinfold.llm.common import cut, real_id, slices, texts_of, utf8
 
-MEMO = 400_000
+#: When a worker has kept so many words, those not met among the next so many are dropped; workers outlive the stage.
+MEMO = 150_000
 _TOKENIZERS: dict = {}
 
 
