@@ -40,6 +40,11 @@ def linkage(distance: np.ndarray) -> np.ndarray:
         d[keep, keep] = np.inf
         size[keep] += size[gone]
         alive[gone] = False
+    return _numbered(merges, n)
+
+
+def _numbered(merges: list[tuple], n: int) -> np.ndarray:
+    """Merges of slots (the smaller one stays) in any order, as rows by height with clusters numbered as usual."""
     order = np.argsort([m[2] for m in merges], kind="stable")
     top = np.arange(n)
     out = np.zeros((n - 1, 4))
@@ -63,6 +68,64 @@ def linkage(distance: np.ndarray) -> np.ndarray:
     return out
 
 
+def between(distance: Callable[[pd.DataFrame], np.ndarray]) -> Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]:
+    """The distances of two frames' rows by a function that gives those of one frame's, which must not depend on other rows."""
+
+    def of(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray:
+        step = max(128, len(left))
+        parts = (right.iloc[i : i + step] for i in range(0, len(right), step))
+        return np.hstack([np.asarray(distance(pd.concat([left, x], ignore_index=True)))[: len(left), len(left) :] for x in parts])
+
+    return of
+
+
+def lean_linkage(held: pd.DataFrame, cross: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray], room: int = 1 << 25) -> np.ndarray:
+    """The same as `linkage` without the matrix, in about `room` numbers.
+
+    A cluster's row is the sum of its points' distances to every point. Rows of clusters of `least` or more
+    points are held (there are at most n / least); the others are summed anew from the points.
+    """
+    n = len(held)
+    least = max(2, -(-n * n // room))
+    size, label = np.ones(n, np.int64), np.arange(n)
+    members, rows = {i: np.array([i]) for i in range(n)}, {}
+    merges, chain, steps = [], [], []  # steps: the distance to the one before in the chain
+
+    def row(a: int) -> np.ndarray:
+        if a in rows:
+            return rows[a]
+        own, step = members[a], max(1, room // (8 * n))
+        return sum(np.asarray(cross(held.iloc[own[i : i + step]], held), np.float64).sum(0) for i in range(0, len(own), step))
+
+    for _ in range(n - 1):
+        if not chain:
+            chain, steps = [min(members)], [np.inf]
+        while True:
+            a = chain[-1]
+            free = size > 0
+            free[chain] = False  # rounding must not lead back into the chain
+            others = np.flatnonzero(free)
+            near = np.bincount(label, row(a), n)[others] / (size[a] * size[others])
+            k = int(near.argmin()) if len(others) else -1
+            if len(chain) > 1 and (k < 0 or not near[k] < steps[-1]):
+                break
+            b = int(others[k])
+            chain.append(b)
+            steps.append(float(near[k]))
+        a, b, h = chain.pop(), chain.pop(), steps.pop()
+        steps.pop()
+        keep, gone = min(a, b), max(a, b)
+        merges.append((a, b, h, size[a] + size[b]))
+        if size[a] + size[b] >= least:
+            rows[keep] = row(a) + row(b)
+            rows.pop(gone, None)
+        label[members[gone]] = keep
+        members[keep] = np.concatenate((members[keep], members.pop(gone)))
+        size[keep] += size[gone]
+        size[gone] = 0
+    return _numbered(merges, n)
+
+
 def flat(z: np.ndarray, n: int, cut: float) -> np.ndarray:
     """Labels 0, 1, ... of the clusters under the height, numbered by their first point."""
     root = np.arange(2 * n - 1) if n else np.zeros(0, np.int64)
@@ -80,18 +143,23 @@ def flat(z: np.ndarray, n: int, cut: float) -> np.ndarray:
     return pd.factorize(np.array([find(i) for i in range(n)]))[0] if n else np.zeros(0, np.int64)
 
 
-def cluster_blocks(rows: DataFrame, block: str, key: str, columns: list[str], distance: Callable[[pd.DataFrame], np.ndarray], cut: float, most: int = 24_000) -> DataFrame:
-    """block, key, label (<block>-<number>): each block of 2 to `most` rows by average linkage.
+def _linked(held: pd.DataFrame, distance: Callable, cross: Callable | None, most: int) -> np.ndarray:
+    return linkage(distance(held)) if len(held) <= most else lean_linkage(held, cross or between(distance))
+
+
+def cluster_blocks(rows: DataFrame, block: str, key: str, columns: list[str], distance: Callable[[pd.DataFrame], np.ndarray], cut: float, most: int = 24_000, cross: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray] | None = None) -> DataFrame:
+    """block, key, label (<block>-<number>): each block by average linkage.
 
-    Blocks of one row skip Python and keep the row's key as label. A block of more rows would need a matrix of
-    its square in one task: it is refused here and belongs to `linked`, which scales by its links.
+    Blocks of one row skip Python and keep the row's key as label. A block of more than `most` rows would need
+    a matrix of its square in one task: it is clustered by `lean_linkage`, alike but without the matrix, with
+    `cross` for the distances of two frames' rows (made of `distance`, which is slower, if it isn't given).
     """
     sizes = rows.groupBy(block).agg(F.count(F.lit(1)).alias("_n"))
-    whole = rows.join(sizes.filter(f"_n BETWEEN 2 AND {most}"), block).select(block, key, *columns)
+    whole = rows.join(sizes.filter("_n > 1"), block).select(block, key, *columns)
 
     def one(held: pd.DataFrame) -> pd.DataFrame:
         held = held.sort_values(key, kind="stable").reset_index(drop=True)
-        label = flat(linkage(distance(held)), len(held), cut)
+        label = flat(_linked(held, distance, cross, most), len(held), cut)
         name = held[block].astype(str)
         return pd.DataFrame({block: held[block], key: held[key], "label": name + "-" + pd.Series(label.astype(str))})
 
@@ -101,21 +169,21 @@ def cluster_blocks(rows: DataFrame, block: str, key: str, columns: list[str], di
     return done.unionByName(alone)
 
 
-def merge_table(rows: DataFrame, block: str, key: str, columns: list[str], distance: Callable[[pd.DataFrame], np.ndarray]) -> DataFrame:
-    """block, step, left_keys, right_keys, height, elements of every merge."""
+def merge_table(rows: DataFrame, block: str, key: str, columns: list[str], distance: Callable[[pd.DataFrame], np.ndarray], most: int = 24_000, cross: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray] | None = None) -> DataFrame:
+    """block, step, left_keys, right_keys, height, elements of every merge; blocks of more than `most` rows as in `cluster_blocks`."""
 
     def one(held: pd.DataFrame) -> pd.DataFrame:
         held = held.sort_values(key, kind="stable").reset_index(drop=True)
         members = [[str(k)] for k in held[key]]
         out = []
-        for step, (a, b, h, n) in enumerate(linkage(distance(held))):
+        for step, (a, b, h, n) in enumerate(_linked(held, distance, cross, most)):
             left, right = sorted((members[int(a)], members[int(b)]))
             out.append((held[block][0], step, left, right, float(h), int(n)))
             members.append(sorted(left + right))
         return pd.DataFrame(out, columns=[block, "step", "left_keys", "right_keys", "height", "elements"])
 
     kind = rows.schema[block].dataType.simpleString()
-    counted = rows.join(rows.groupBy(block).agg(F.count(F.lit(1)).alias("_n")).filter("_n BETWEEN 2 AND 24000"), block)
+    counted = rows.join(rows.groupBy(block).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), block)
     return counted.select(block, key, *columns).groupBy(block).applyInPandas(one, f"{block} {kind}, step int, left_keys array<string>, right_keys array<string>, height double, elements int")
 
 

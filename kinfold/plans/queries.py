@@ -521,9 +521,12 @@ def entity_ids(spark, d):
     return threshold_components(spark, d).select(F.col("root").alias("entity"), F.col("doc_id").alias("mention"))
 
 
+def _by_prices(left, right) -> np.ndarray:
+    return np.abs(left["p_retailprice"].to_numpy()[:, None] - right["p_retailprice"].to_numpy()[None, :])
+
+
 def _by_price(held) -> np.ndarray:
-    x = held["p_retailprice"].to_numpy()
-    return np.abs(x[:, None] - x[None, :])
+    return _by_prices(held, held)
 
 
 def _priced(spark, d):
@@ -532,12 +535,12 @@ def _priced(spark, d):
 
 @query()
 def hac_clusters(spark, d):
-    return clustering.cluster_blocks(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, 25.0)
+    return clustering.cluster_blocks(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, 25.0, cross=_by_prices)
 
 
 @query()
 def merge_label_table(spark, d):
-    return clustering.merge_table(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price)
+    return clustering.merge_table(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, cross=_by_prices)
 
 
 @query("SELECT n_regionkey, n_name FROM (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY count(c_custkey) DESC, n_name) AS r FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2) WHERE r = 1")

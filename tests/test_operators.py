@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -73,6 +74,29 @@ def test_hac_of_blocks(spark):
     assert got == {0: "a-0", 1: "a-0", 2: "a-1", 9: "9"}
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 40), st.integers(0, 10**6), st.sampled_from([1, 60, 1 << 20]), st.booleans())
+def test_lean_linkage_equals_linkage(n, seed, room, ties):
+    x = np.random.default_rng(seed).integers(0, 6, n).astype(float) if ties else np.random.default_rng(seed).normal(size=n)
+    distance = lambda held: np.abs(held["x"].to_numpy()[:, None] - held["x"].to_numpy()[None])
+    held = pd.DataFrame({"x": x})
+    z = clustering.lean_linkage(held, clustering.between(distance), room)
+    assert list(z[:, 2]) == sorted(z[:, 2]) and z[-1, 3] == n
+    if not ties:
+        assert np.allclose(z, clustering.linkage(distance(held)))
+
+
+def test_large_blocks_are_clustered(spark):
+    x = np.random.default_rng(3).normal(size=60)
+    rows = spark.createDataFrame([("a" if i < 50 else f"b{i % 4}", i, float(v)) for i, v in enumerate(x)], "canopy string, id long, x double")
+    distance = lambda held: np.abs(held["x"].to_numpy()[:, None] - held["x"].to_numpy()[None])
+    by = lambda most: sorted(map(tuple, clustering.cluster_blocks(rows, "canopy", "id", ["x"], distance, 0.3, most).collect()))
+    assert by(2) == by(100) and len(by(2)) == 60
+    pick = lambda r: (r["canopy"], r["step"], tuple(r["left_keys"]), tuple(r["right_keys"]), round(r["height"], 9), r["elements"])
+    merges = lambda most: sorted(map(pick, clustering.merge_table(rows, "canopy", "id", ["x"], distance, most).collect()))
+    assert merges(2) == merges(100) and len(merges(2)) == 60 - 5
+
+
 def test_override_and_touched(spark):
     old = spark.createDataFrame([(1, "o"), (2, "o")], "k int, v string")
     new = spark.createDataFrame([(2, "n"), (3, "n")], "k int, v string")
