@@ -3,11 +3,11 @@
 Texts are tokenised, an end id is added, and only what is longer than a sequence is cut. The lengths'
 histogram (at most `capacity` numbers, whatever the input) goes to the driver. There a configuration
 is a multiset of lengths that fits a sequence; the linear program "cover each length's count with as
-few configurations as possible" is solved by multiplicative weights: each round prices lengths by
-their weights, finds the dearest configuration by a knapsack dynamic program, uses it and lowers the
-weights of what it covers. The fractional solution is rounded down, and best fit places the rest into
-the gaps that are left and then into new sequences. Pieces find their places by their rank among
-those of their length.
+few configurations as possible" is solved in whole numbers by multiplicative weights: each round prices
+lengths by their weights, reads the dearest configurations off a knapsack dynamic program, uses them
+and lowers the weights of what they cover, until the program has placed all but a hundredth of the
+tokens. Best fit places the rest into the gaps that are left and then into new sequences. Pieces find
+their places by their rank among those of their length.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from kinfold.llm.common import cut, real_id, slices, texts_of, utf8
 
 #: When a worker has kept so many words, those not met among the next so many are dropped; workers outlive the stage.
 MEMO = 150_000
+#: First weights are sizes to this power: above 1 fills rooms by longer sizes first and keeps short ones for later gaps.
+POWER = 1.3
 _TOKENIZERS: dict = {}
 
 
@@ -147,11 +149,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     return docs.mapInArrow(apply, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def dearest(prices: np.ndarray, sizes: np.ndarray, supply: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of the highest price that fits: index of size -> count, by dynamic programming over the room.
-
-    A size is used no more often than it is in supply (checked on the way back, so that a rare size isn't overused).
-    """
+def priced(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room the highest price of what fits in it, and the index of a size to put there (-1: leave one place empty)."""
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, np.int64)
     for room in range(int(sizes[0]), capacity + 1):  # sizes ascend
@@ -162,23 +161,68 @@ def dearest(prices: np.ndarray, sizes: np.ndarray, supply: np.ndarray, capacity:
             best[room], choice[room] = value[k], k
         else:
             best[room] = best[room - 1]
-    found: dict[int, int] = {}
-    room = capacity
-    while room >= sizes[0]:
-        if choice[room] < 0:
+    return best, choice
+
+
+def dearest(k: int, table: tuple, prices: np.ndarray, sizes: np.ndarray, supply: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of the highest price that holds size k, as index of size -> count.
+
+    It is read off the table. Where that would use more of a size than there is in supply, the dearest size that is left goes there.
+    """
+    best, choice = table
+    found, room, least = {k: 1}, capacity - int(sizes[k]), int(sizes[0])
+    while room >= least:
+        c = int(choice[room])
+        if c < 0:
             room -= 1
             continue
-        k = int(choice[room])
-        room -= int(sizes[k])
-        if found.get(k, 0) < supply[k]:
-            found[k] = found.get(k, 0) + 1
+        if found.get(c, 0) >= supply[c]:
+            fit = int(np.searchsorted(sizes, room, "right"))
+            open_ = supply[:fit] > 0
+            for j, n in found.items():
+                if j < fit and n >= supply[j]:
+                    open_[j] = False
+            ids = np.flatnonzero(open_)
+            if not len(ids):
+                break
+            c = int(ids[(best[room - sizes[ids]] + prices[ids]).argmax()])
+        found[c] = found.get(c, 0) + 1
+        room -= int(sizes[c])
     return found
 
 
-def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None, step: float = 0.5) -> list[tuple[list[int], int]]:
+def deal(sizes: np.ndarray, need: np.ndarray, capacity: int, tolerance: float, step: float, fresh: float = 0.03) -> tuple[dict[tuple, int], np.ndarray]:
+    """Configurations -> how often, and what is left of each size: at most `tolerance` of the tokens.
+
+    Longest first, every size is dealt in whole numbers by the dearest configurations that hold it. Whenever a share
+    of `fresh` of what was left is dealt, the weights of the sizes fall by how far they are covered, and rooms are priced
+    anew. A configuration uses up a size, so that the work is bounded by the sizes and not by the counts.
+    """
+    used: dict[tuple, int] = {}
+    remain, enough = need.copy(), tolerance * int(sizes @ need)
+    while (tokens := int(sizes @ remain)) > enough:
+        live = np.flatnonzero(remain)
+        own, supply = sizes[live], remain[live]
+        prices = (own / capacity) ** POWER * np.exp(-step * (1 - supply / need[live]))
+        table = priced(prices, own, capacity)
+        for k in reversed(range(len(live))):
+            while supply[k]:
+                config = dearest(k, table, prices, own, supply, capacity)
+                at, count = np.array(list(config)), np.array(list(config.values()))
+                times = int((supply[at] // count).min())
+                supply[at] -= times * count
+                key = tuple(sorted((int(live[j]), c) for j, c in config.items()))
+                used[key] = used.get(key, 0) + times
+            if own @ supply <= max(enough, (1 - fresh) * tokens):
+                break
+        remain[live] = supply
+    return used, remain
+
+
+def solve(histogram: dict[int, int], capacity: int, tolerance: float = 0.01, step: float = 0.5) -> list[tuple[list[int], int]]:
     """Configurations (lengths, how often) that hold each length exactly as often as the histogram says.
 
-    A round's dynamic program takes capacity * lengths steps, so histograms of few lengths get more rounds.
+    The program places all tokens but a share of `tolerance`, whatever the number of lengths; best fit places these.
     """
     out: list[tuple[list[int], int]] = []
     left = {size: n for size, n in histogram.items() if n > 0}
@@ -187,32 +231,11 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int | None = None, s
     if not left:
         return out
     sizes = np.array(sorted(left), np.int64)
-    need = np.array([left[s] for s in sizes.tolist()], np.float64)
-    rounds = rounds or max(80, min(400, 100_000 // len(sizes)))
-    weight = sizes / capacity
-    used: dict[tuple, float] = {}
-    covered = np.zeros(len(sizes))
-    for _ in range(rounds):
-        config = dearest(weight, sizes, need, capacity)
-        at, count = np.array(list(config), np.int64), np.array(list(config.values()), np.float64)
-        times = float((need[at] / count).min())
-        key = tuple(sorted(config.items()))
-        used[key] = used.get(key, 0.0) + times
-        share = np.zeros(len(sizes))
-        share[at] = times * count / need[at]
-        covered += share
-        weight = weight * np.exp(-step * share)
-    # a feasible cover divides by the least coverage; sizes that the rounds never reached are left to best fit
-    scale = 1 / max(1.0, float(np.quantile(covered[covered > 0], 0.5)))
-    remain = need.astype(np.int64)
+    used, remain = deal(sizes, np.array([left[s] for s in sizes.tolist()], np.int64), capacity, tolerance, step)
     open_bins: dict[int, list] = {}  # gap -> [lengths, times]
-    for key, times in sorted(used.items(), key=lambda x: (-x[1], x[0])):
-        at, count = np.array([k for k, _ in key]), np.array([c for _, c in key])
-        whole = min(int(times * scale), int((remain[at] // count).min()))
-        if whole > 0:
-            remain[at] -= whole * count
-            lengths = [int(sizes[k]) for k, c in key for _ in range(c)]
-            open_bins.setdefault(capacity - sum(lengths), []).append([lengths, whole])
+    for key, times in used.items():
+        lengths = [int(sizes[k]) for k, c in key for _ in range(c)]
+        open_bins.setdefault(capacity - sum(lengths), []).append([lengths, times])
     return out + best_fit({int(s): int(n) for s, n in zip(sizes, remain, strict=True) if n}, open_bins, capacity)
 
 

@@ -269,6 +269,24 @@ def test_solve_covers_exactly():
     assert packing.solve({}, 100) == []
 
 
+def test_program_places_nearly_all_of_thousands_of_lengths(monkeypatch):
+    sizes = np.minimum(np.random.default_rng(5).lognormal(6.8, 0.9, 20_000).astype(int) + 1, 4096)
+    histogram = {int(s): int(n) for s, n in zip(*np.unique(sizes, return_counts=True), strict=True)}
+    assert len(histogram) > 2000
+    alone, rests = sum(n for _, n in packing.best_fit(dict(histogram), {}, 4096)), []
+    fit = packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda rest, bins, capacity: rests.append(dict(rest)) or fit(rest, bins, capacity))
+    configs = packing.solve(histogram, 4096)
+    assert sum(s * n for rest in rests for s, n in rest.items()) <= 0.01 * sizes.sum()
+    held = {}
+    for lengths, times in configs:
+        assert sum(lengths) <= 4096
+        for x in lengths:
+            held[x] = held.get(x, 0) + times
+    assert held == histogram
+    assert sum(n for _, n in configs) <= 1.01 * alone
+
+
 def winnowed(text):
     units = re.findall(r"[^ \t\n\x0B\f\r]{1,%d}" % winnowing.CUT, text.lower())
     return units
