@@ -32,9 +32,13 @@ BLOCK = 256
 
 
 def match_threshold(coordinates: int, percent: int) -> int:
-    """Matches that a pair at the similarity reaches but for about one pair in 30,000."""
-    s = percent / 100
-    return max(2, math.floor(coordinates * s - 4 * math.sqrt(coordinates * s * (1 - s))))
+    """Matches that a pair at the similarity reaches but for at most one pair in 30,000, by the binomial."""
+    s, missed = percent / 100, 0.0
+    for matches in range(coordinates + 1):
+        missed += math.comb(coordinates, matches) * s**matches * (1 - s) ** (coordinates - matches)
+        if missed > 1 / 30_000:
+            return max(2, matches)
+    return coordinates
 
 
 def _sets(column: pa.Array, k: int):

@@ -1,6 +1,7 @@
 """Each operator against brute force on small crafted tables: nulls, empty and long texts, ties, repeated rows, extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -82,6 +83,13 @@ def test_near_duplicates(spark, rows, k, percent, monkeypatch):
     assert len(links) > 3
 
 
+@pytest.mark.parametrize(("coordinates", "percent"), [(32, 80), (32, 85), (48, 85)])
+def test_few_pairs_miss_the_match_threshold(coordinates, percent):
+    s, enough = percent / 100, minhash_join.match_threshold(coordinates, percent)
+    under = [math.comb(coordinates, i) * s**i * (1 - s) ** (coordinates - i) for i in range(enough + 1)]
+    assert sum(under[:-1]) <= 1 / 30_000 < sum(under)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert minhash_join.near_duplicates(frame(spark, [])).count() == 0
 
