@@ -51,7 +51,7 @@ def _sets(column: pa.Array, k: int):
 
 
 def signatures(docs: DataFrame, k: int, coordinates: int) -> DataFrame:
-    """doc_id, n_shingles, two 64-bit sums that name the set, and the signature (null for an empty set)."""
+    """doc_id, h (a hash of the text), n_shingles, two 64-bit sums that name the set, and the signature (null for an empty set)."""
     rng = np.random.default_rng(20240517)
     factors = rng.integers(1, 2**63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = rng.integers(0, 2**63, coordinates, dtype=np.uint64)
@@ -77,11 +77,11 @@ def signatures(docs: DataFrame, k: int, coordinates: int) -> DataFrame:
                 ends = np.concatenate(([0], np.cumsum((size > 0) * coordinates))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(sig.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), pa.array(size), pa.array(one), pa.array(two), lists],
-                    names=["doc_id", "n_shingles", "one", "two", "sig"],
+                    [batch.column("doc_id").slice(i, j - i), batch.column("h").slice(i, j - i), pa.array(size), pa.array(one), pa.array(two), lists],
+                    names=["doc_id", "h", "n_shingles", "one", "two", "sig"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, one long, two long, sig array<int>")
+    return docs.mapInArrow(sign, "doc_id long, h long, n_shingles long, one long, two long, sig array<int>")
 
 
 def _groups(batches, keys: list[str]):
@@ -222,33 +222,52 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordi
     docs: doc_id and text, other columns are ignored. Null texts and texts without words have no
     shingles and link with nothing; equal sets are always linked; a null doc_id counts as the smallest.
     Rows that repeat a doc_id share its component. An empty table gives an empty result.
+
+    Every distinct set is compared. A set is named by the smallest doc_id that has it; where that id has several
+    sets (null ids are all one id), the others count down from the largest long, so that they are no component's root
+    while a document's id is in it. Sets of one doc_id are linked, but not those of null ids.
     """
-    docs = texts_of(docs)
+    docs = texts_of(docs).withColumn("h", F.xxhash64("text"))
     enough = match_threshold(coordinates, percent)
     prefix = coordinates - enough + 1
     signed = cut(signatures(docs, shingle, coordinates))
     key = ["n_shingles", "one", "two"]
     filled = signed.filter("n_shingles > 0")
-    owners = filled.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    member = filled.select("doc_id", *key).join(owners, key).select("doc_id", "rep")
-    reps = cut(filled.join(owners.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi").select("doc_id", "sig").dropDuplicates(["doc_id"]))
+    owners = filled.groupBy(*key).agg(F.min(F.struct("doc_id", "h")).alias("first")).select(*key, F.col("first.doc_id").alias("low"), "first.h")
+    owners = cut(owners.withColumn("extra", F.lit(2**63 - 1) - F.monotonically_increasing_id()))
+    again = owners.filter(F.col("low") != NO_ID).groupBy("low").agg(F.count(F.lit(1)).alias("sets"), F.min("extra").alias("other")).filter("sets > 1")
+    owners = owners.join(small(again.select("low", "other")), "low", "left")
+    plain = (F.col("low") != NO_ID) & (F.col("other").isNull() | (F.col("extra") == F.col("other")))
+    owners = owners.select(*key, "low", "h", F.when(plain, F.col("low")).otherwise(F.col("extra")).alias("rep"))
+    member = filled.select("doc_id", *key).join(owners.select(*key, "rep"), key).select("doc_id", "rep")
+    first = owners.select(*key, F.col("low").alias("doc_id"), "h", "rep")
+    reps = cut(filled.join(first, [*key, "doc_id", "h"]).select(F.col("rep").alias("doc_id"), "sig").dropDuplicates(["doc_id"]))
 
     posted = reps.select("doc_id", F.posexplode(F.slice("sig", 1, prefix)).alias("j", "v"))
     lists = posted.groupBy("j", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = posted.join(lists, ["j", "v"]).join(reps, "doc_id")
     short = _candidates(met.filter(F.col("n") <= LONG).select("j", "v", "doc_id", "sig"), ["j", "v"], enough)
     second = F.posexplode(F.slice("sig", 1, prefix + 1)).alias("j2", "v2")
-    again = met.filter(F.col("n") > LONG).select("j", "v", "doc_id", "sig", second).filter("j2 > j")
+    twice = met.filter(F.col("n") > LONG).select("j", "v", "doc_id", "sig", second).filter("j2 > j")
     keys = ["j", "v", "j2", "v2"]
-    long = _candidates(_blocks(again, keys, LONG), [*keys, "x", "y"], enough)
+    long = _candidates(_blocks(twice, keys, LONG), [*keys, "x", "y"], enough)
     clusters = components(short.unionByName(long))
 
     near = clusters.select(F.col("node").alias("doc_id"), "root").union(clusters.select("root", "root").distinct())
     spread = cut(_blocks(near, ["root"], BLOCK))
-    texts = docs.join(small(near.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    roots = components(_confirmed(texts.join(spread, "doc_id"), ["root", "x", "y"], shingle, percent))
-
-    whole = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("root"))
+    wanted = first.select("doc_id", "h", "rep").join(small(near.select(F.col("doc_id").alias("rep"))), "rep", "left_semi")
+    texts = docs.join(small(wanted), ["doc_id", "h"]).select(F.col("rep").alias("doc_id"), "text").dropDuplicates(["doc_id"])
+    links = _confirmed(texts.join(spread, "doc_id"), ["root", "x", "y"], shingle, percent)
+    sets = member.filter(F.col("doc_id") != NO_ID).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter("b < top").drop("top")
+    links = links.unionByName(member.join(small(sets), "doc_id").filter("rep != b").select(F.col("rep").alias("a"), "b").distinct())
+    roots = components(links)
+
+    # components that hold a set of a null id are that id's, which counts as the smallest
+    nulls = owners.filter(F.col("low") == NO_ID).select(F.col("rep").alias("node")).join(roots, "node", "left")
+    nulls = cut(nulls.select(F.coalesce("root", "node").alias("top")).distinct())
+    named = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("top", F.coalesce("root", "rep"))
+    named = named.join(small(nulls.withColumn("null", F.lit(NO_ID))), "top", "left")
+    whole = named.groupBy("doc_id").agg(F.min(F.coalesce("null", "top")).alias("root"))
     out = signed.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
     out = out.withColumn("component", F.coalesce("root", "doc_id"))
     return out.select(real_id(), "n_shingles", F.nullif("component", F.lit(NO_ID)).alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))

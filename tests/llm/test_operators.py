@@ -83,6 +83,14 @@ def test_near_duplicates(spark, rows, k, percent, monkeypatch):
     assert len(links) > 3
 
 
+def test_near_duplicates_of_all_sets_of_an_id(spark):
+    a, b, c, d = ([f"{x}{i}" for i in range(60)] for x in "abcd")
+    near = lambda w: " ".join([*w, "more"])
+    rows = [(None, " ".join(a)), (None, " ".join(b)), (1, near(a)), (2, near(b)), (3, " ".join(c)), (3, " ".join(d)), (4, near(c)), (5, near(d)), (6, "alone")]
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash_join.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == {(None, None, True), (1, None, False), (2, None, False), (3, 3, True), (4, 3, False), (5, 3, False), (6, 6, True)}
+
+
 @pytest.mark.parametrize(("coordinates", "percent"), [(32, 80), (32, 85), (48, 85)])
 def test_few_pairs_miss_the_match_threshold(coordinates, percent):
     s, enough = percent / 100, minhash_join.match_threshold(coordinates, percent)
