@@ -64,10 +64,11 @@ def found(text: Column, pattern: str, hint: str) -> Column:
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.char_length(x["g"])
         end = start + F.char_length(x["m"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("s"), F.right(x["g"], F.lit(LEFT)).alias("left"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], one).alias("out"))
+        left = F.right(F.concat(acc["left"], F.right(x["g"], F.lit(LEFT))), F.lit(LEFT))
+        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("s"), left.alias("left"))
+        return F.struct(end.alias("at"), F.right(F.concat(left, x["m"]), F.lit(LEFT)).alias("left"), F.array_append(acc["out"], one).alias("out"))
 
-    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("left"), none.alias("out")), step, lambda acc: acc["out"])
     return F.when(text.rlike(hint), placed).otherwise(none)
 
 
@@ -265,21 +266,25 @@ def _score(trees: list[tuple], bins: Column) -> Column:
     return total
 
 
+def selected(good: Column) -> Column:
+    """array<struct<k, start, end>>: best first, the candidates that overlap none selected before."""
+    order = F.sort_array(F.transform(good, lambda c: F.struct(c["score"].alias("score"), (c["end"] - c["start"]).alias("n"), (-c["start"]).alias("a"), (-c["k"]).alias("b"))), asc=False)
+    spans = F.transform(order, lambda c: F.struct((-c["b"]).alias("k"), (-c["a"]).alias("start"), (c["n"] - c["a"]).alias("end")))
+
+    def step(acc: Column, c: Column) -> Column:
+        return F.when(F.exists(acc, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"])), acc).otherwise(F.array_append(acc, c))
+
+    return F.aggregate(spans, F.array().cast("array<struct<k:int,start:int,end:int>>"), step)
+
+
 def added(text: Column, known: Column, model: tuple[list, list]) -> Column:
-    """array<struct<k, start, end>>: candidates that the trees accept and that overlap no known span and no better candidate."""
+    """array<struct<k, start, end>>: candidates that the trees accept and that overlap no known span and no better one selected."""
     trees, least = model
     floor = F.array(*[F.lit(min(x, 1e9)) for x in least])
     scored = F.transform(proposals(text), lambda c: F.struct(_score(trees, c["bins"]).alias("score"), c["k"].alias("k"), c["start"].alias("start"), c["end"].alias("end"), floor[c["bins"][0]].alias("floor")))
     good = F.filter(scored, lambda c: (c["score"] >= c["floor"] - 1e-6) & ~F.exists(known, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
 
-    def rank(c: Column) -> Column:
-        return F.struct(c["score"], c["end"] - c["start"], -c["start"], -c["k"])
-
-    def alone(all_: Column) -> Column:
-        return F.filter(all_, lambda c: ~F.exists(all_, lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"]) & (rank(o) > rank(c))))
-
-    chosen = F.get(F.transform(F.array(good), alone), F.lit(0))
-    return F.transform(chosen, lambda c: F.struct(c["k"].alias("k"), c["start"].alias("start"), c["end"].alias("end")))
+    return selected(good)
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:

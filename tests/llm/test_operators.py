@@ -385,6 +385,17 @@ def test_trees_tell_held_out_sentences(spark):
     assert right / total > 0.9
 
 
+def test_chains_of_candidates_and_cues(spark):
+    one = lambda score, start, end: F.struct(F.lit(score).alias("score"), F.lit(3).alias("k"), F.lit(start).alias("start"), F.lit(end).alias("end"))
+    text = F.lit("call 030-1234567, 030-7654321")
+    row = spark.range(1).select(
+        pii.selected(F.array(one(1.0, 0, 10), one(2.0, 8, 20), one(3.0, 18, 30))).alias("kept"),
+        pii.found(text, "[0-9]+-[0-9]+", "[0-9]").alias("hits"),
+    ).first()
+    assert sorted((x["start"], x["end"]) for x in row["kept"]) == [(0, 10), (18, 30)]
+    assert [x["left"] for x in row["hits"]] == ["call ", "call 030-1234567, "]
+
+
 def test_redaction(spark):
     out = pii.detect(frame(spark, [(1, "call +1 (555) 123-4567 or a@b.co now"), (2, None), (3, "x")]))
     got = {r["doc_id"]: r["x"] for r in out.select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("x")).collect()}
