@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import zlib
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of up to a few numbers that a broadcast may hold; larger tables are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Stands for a null doc_id while rows are joined; outputs turn it back into null.
 NO_ID = -(2**63)
 
@@ -45,12 +46,15 @@ def real_id(name: str = "doc_id"):
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the shared checkpoint folder, so that a lost executor costs no recomputation."""
+    """Materialise df in the shared checkpoint folder, so that a lost executor costs no recomputation.
+
+    The folder is that of spark.checkpoint.dir; where that is unset (as in tests) it is one in the warehouse.
+    """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="kinfold-checkpoint-"))
+        context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint(eager=True)
 
 
@@ -64,7 +68,7 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(ids: DataFrame, limit: int = 1_000_000) -> DataFrame:
+def small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """ids with a broadcast hint when it is counted to hold few rows; larger sides are joined by a shuffle."""
     return F.broadcast(ids) if ids.count() <= limit else ids
 

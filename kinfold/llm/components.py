@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.common import cut
+from kinfold.llm.common import BROADCAST_ROWS, cut
+
+#: A node of more edges is a hub: its edges are joined where they are, to a broadcast row for each hub.
+HUB = 500
 
 
 def _stamp(edges: DataFrame) -> tuple:
@@ -13,30 +16,45 @@ def _stamp(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, among: DataFrame, least: Column, count: int) -> DataFrame:
+    """rows (with a column a) with m, the aggregate `least` of `among` by a.
+
+    There are at most among's rows / HUB hubs, which `count` bounds; where even these are too many to broadcast,
+    all rows are joined by a shuffle.
+    """
+    found = among.groupBy("a").agg(least.alias("m"), F.count(F.lit(1)).alias("n"))
+    if count // HUB > BROADCAST_ROWS:
+        return rows.join(found.drop("n"), "a")
+    hubs = found.filter(F.col("n") > HUB).select("a", F.col("m").alias("hub"))
+    rows = rows.join(F.broadcast(hubs), "a", "left")
+    few = rows.filter("hub IS NULL").drop("hub").join(found.filter(F.col("n") <= HUB).drop("n"), "a")
+    return few.unionByName(rows.filter("hub IS NOT NULL").withColumnRenamed("hub", "m"))
+
+
+def _large(edges: DataFrame, count: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    joined = _with_least(both.filter("b > a"), both, F.least(F.first("a"), F.min("b")), 2 * count)
+    return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, count: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    to = down.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return to.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    to = _with_least(down, down, F.min("b"), count).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return to.unionByName(down.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Columns node, root: every node of edges (columns a, b) that isn't its component's smallest, with that smallest.
 
-    Self links and repeated links have no effect. Each round is checkpointed; the driver sees counts only.
+    Self links and repeated links have no effect; of no edges the result is empty. Each round is checkpointed; the
+    driver sees counts only. No node's edges have to meet in one task.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
     seen = _stamp(now)
     if not seen[0]:
         return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(rounds):
-        now = cut(_small(_large(now)))
+        now = cut(_small(_large(now, seen[0]), seen[0]))
         stamp = _stamp(now)
         if stamp == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -6,6 +6,9 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.ones(1, np.uint64)
+#: A random number for each byte at each of the first PLACES places; later places use them again, times a number of their block.
+PLACES = 4096
+_BYTES = np.random.default_rng(20240611).integers(0, 2**64, PLACES * 256, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -54,7 +57,11 @@ def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray | None = None) ->
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
-    """A 64-bit hash of each span, spans being in order; works in blocks of bytes."""
+    """A 64-bit hash of each span, spans being in order; works in blocks of bytes.
+
+    Spans are summed up by tabulation: every byte at every place adds a random number of its own, so that two
+    different spans are equal with a chance of 2**-64, whatever pattern they follow.
+    """
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -62,7 +69,11 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int =
         size = ends[i:j] - starts[i:j]
         first = np.concatenate(([0], np.cumsum(size)[:-1]))
         place = np.arange(int(size.sum())) - np.repeat(first, size)
-        value = (data[np.repeat(starts[i:j], size) + place].astype(np.uint64) + np.uint64(1)) * powers(int(size.max()))[place]
+        byte = data[np.repeat(starts[i:j], size) + place]
+        if int(size.max()) <= PLACES:
+            value = _BYTES[(place << 8) | byte]
+        else:
+            value = _BYTES[((place % PLACES) << 8) | byte] * (mix((place // PLACES).astype(np.uint64)) | np.uint64(1))
         out[i:j] = np.add.reduceat(value, first)
         i = j
     return mix(out)

@@ -11,7 +11,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.llm import agenda_pieces, anchors, automaton_dedup, bpe, minhash_join, packing, pii, quality_fm, suffix_dedup, toxicity, vector_dedup, winnowing
+from kinfold.llm import agenda_pieces, anchors, automaton_dedup, bpe, minhash_join, packing, pii, quality_fm, suffix_dedup, toxicity, vector_dedup, winnowing, words
+from kinfold.llm import components as hubs
 from kinfold.llm.components import components
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double"
@@ -61,10 +62,11 @@ def groups(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
-    edges = spark.createDataFrame([(i + 1, i) for i in range(50)] + [(100, 101), (7, 7)], "a long, b long")
+def test_components(spark, monkeypatch):
+    monkeypatch.setattr(hubs, "HUB", 3)
+    edges = spark.createDataFrame([(i + 1, i) for i in range(50)] + [(100, 101), (7, 7)] + [(200, 300 + i) for i in range(30)] + [(999, 400 + i) for i in range(30)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
-    assert got == {**{i: 0 for i in range(1, 51)}, 101: 100}
+    assert got == {**{i: 0 for i in range(1, 51)}, 101: 100, **{300 + i: 200 for i in range(30)}, **{400 + i: 400 for i in range(1, 30)}, 999: 400}
 
 
 @pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
@@ -83,6 +85,57 @@ def test_near_duplicates(spark, rows, k, percent, monkeypatch):
     assert len(links) > 3
 
 
+def dense(n, seed=9):
+    """Copies of one text with more or fewer words changed."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(60)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.choice((0, 1, 1, 2, 3, 6))):
+            own[rng.randrange(60)] = rng.choice(("x", "y", f"z{i}"))
+        out.append((i, " ".join(own)))
+    return out
+
+
+def test_dense_group_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash_join, "BLOCK", 12)
+    monkeypatch.setattr(minhash_join, "LONG", 20)
+    rows = dense(150)
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(58)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    root = groups(sets, links)
+    got = {r["doc_id"]: r["component_id"] for r in minhash_join.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == root
+    assert 1 < len(set(root.values())) < 100
+
+
+def test_first_copies(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, a), (1, b), (2, a + " more"), (None, b + " more"), (None, None), (3, ""), (3, ""), (4, "alone")]
+    out = minhash_join.first_copies(frame(spark, rows))
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "score"]
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (None, b + " more"), (None, None), (3, ""), (3, ""), (4, "alone")], key=str)
+    assert minhash_join.first_copies(frame(spark, [])).count() == 0
+
+
+def thue_morse():
+    """Two words that every polynomial modulo 2**64 confuses."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_collide_in_polynomials(spark):
+    one, two = thue_morse()
+    long = ("c" * 9000, "c" * 4999 + "d" + "c" * 4000)
+    rows = [(1, one), (2, two), (3, long[0]), (4, long[1])]
+    assert all(r["kept"] for r in minhash_join.near_duplicates(frame(spark, rows), 3, 85).collect())
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    at = np.cumsum([0] + [len(t) for _, t in rows])
+    assert len(set(words.hashes(data, at[:-1], at[1:]).tolist())) == 4
+
+
 def test_near_duplicates_of_all_sets_of_an_id(spark):
     a, b, c, d = ([f"{x}{i}" for i in range(60)] for x in "abcd")
     near = lambda w: " ".join([*w, "more"])
