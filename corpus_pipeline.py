@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold.llm import packing, pii, suffix_dedup, toxicity
-from kinfold.llm.common import NO_ID, cut, real_id, small, table
-from kinfold.llm.minhash_join import near_duplicates
+from kinfold.llm.common import cut, real_id, table
+from kinfold.llm.minhash_join import first_copies
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -23,11 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 on five-word shingles, the one of the smallest doc_id."""
-    docs = docs.select(*COLUMNS)
-    gone = cut(near_duplicates(docs, shingle=5, percent=80).filter("NOT kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("gone")))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return docs.join(small(gone), key == F.col("gone"), "left_anti")
+    """Of texts linked by a similarity of 0.8 on five-word shingles, the one of the smallest doc_id."""
+    return first_copies(docs.select(*COLUMNS), shingle=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
