@@ -1,7 +1,9 @@
-"""Connected components of an edge table by alternating stars, entirely as joins and aggregations."""
+"""Connected components of an edge table: by alternating stars, as joins and aggregations, or of few edges in one task."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from kinfold.llm.common import BROADCAST_ROWS, cut
 
 #: A node of more edges is a hub: its edges are joined where they are, to a broadcast row for each hub.
 HUB = 500
+#: So many edges (3 MB) are joined in one task, which is sooner done than a round of stars; more are never gathered.
+FEW = 200_000
 
 
 def _stamp(edges: DataFrame) -> tuple:
@@ -43,16 +47,42 @@ def _small(edges: DataFrame, count: int) -> DataFrame:
     return to.unionByName(down.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
+def _few(edges: DataFrame) -> DataFrame:
+    """node, root of at most FEW edges."""
+
+    def join(batches):
+        held = [np.stack([b.column("a").to_numpy(), b.column("b").to_numpy()]) for b in batches if b.num_rows]
+        if not held:
+            return
+        ends = np.concatenate(held, axis=1)
+        names, at = np.unique(ends, return_inverse=True)
+        up = list(range(len(names)))
+
+        def top(x: int) -> int:
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for x, y in zip(*at.reshape(ends.shape).tolist(), strict=True):
+            x, y = top(x), top(y)
+            up[max(x, y)] = min(x, y)
+        root = np.fromiter((top(x) for x in range(len(up))), np.int64, len(up))
+        own = np.flatnonzero(root != np.arange(len(root)))
+        yield pa.RecordBatch.from_arrays([pa.array(names[own]), pa.array(names[root[own]])], names=["node", "root"])
+
+    return edges.repartition(1).mapInArrow(join, "node long, root long")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Columns node, root: every node of edges (columns a, b) that isn't its component's smallest, with that smallest.
 
     Self links and repeated links have no effect; of no edges the result is empty. Each round is checkpointed; the
-    driver sees counts only. No node's edges have to meet in one task.
+    driver sees counts only. No node's edges have to meet in one task, unless there are at most FEW edges in all.
     """
     now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct())
+    if now.count() <= FEW:
+        return cut(_few(now))
     seen = _stamp(now)
-    if not seen[0]:
-        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(rounds):
         now = cut(_small(_large(now, seen[0]), seen[0]))
         stamp = _stamp(now)

@@ -273,51 +273,56 @@ def _clusters(reps: DataFrame, coordinates: int, enough: int) -> DataFrame:
     posted = cut(own.select("doc_id", F.explode(F.slice("t", F.lit(1), F.size("t") - (enough - 1))).alias("t")).select("doc_id", "t.token", "t.n"))
     short = _candidates(posted.filter(F.col("n") <= LONG).select("token", "doc_id").join(reps, "doc_id"), ["token"], enough)
     long = posted.filter(F.col("n") > LONG)
-    pivot = long.groupBy("token").agg(F.min("doc_id").alias("b"))  # of at most a LONG-th of the postings
-    whole = long.join(small(pivot), "token").select(F.col("doc_id").alias("a"), "b").filter("a != b").distinct()
-    return components(short.unionByName(whole))
+    if long.isEmpty():
+        return components(short)
+    pivot = cut(long.groupBy("token").agg(F.min("doc_id").alias("b")))  # of at most a LONG-th of the postings
+    whole = long.join(small(pivot), "token").select(F.col("doc_id").alias("a"), "b").filter("a != b")
+    return components(short.unionByName(whole.distinct()))
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: a forest of the links within clusters. sets: root, n (of the cluster), rep and PACKED."""
-    held = F.ceil(F.col("n") / BLOCK)
     little = _confirmed(sets.filter(F.col("n") <= BLOCK), ["root"], percent)
     large = sets.filter(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return cut(little)
+    held = F.ceil(F.col("n") / BLOCK)
     blocked = large.withColumn("x", F.pmod(F.xxhash64("rep"), held))
     least = [F.min(F.struct(F.xxhash64("rep", F.lit(i)), F.col("rep").alias("rep"))).alias(f"p{i}") for i in range(PIVOTS - 1)]
     pivots = large.groupBy("root").agg(*least).select(F.explode(F.array_distinct(F.array("root", *[F.col(f"p{i}.rep") for i in range(PIVOTS - 1)]))).alias("rep"))
-    pivots = large.join(small(pivots), "rep").withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), held - 1)))
+    pivots = large.join(small(cut(pivots)), "rep").withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), held - 1)))
     columns = ["root", "x", "ids", "sizes", "flat"]
-    first = cut(little.unionByName(_confirmed(blocked.select(columns).unionByName(pivots.select(columns)), ["root", "x"], percent)))
+    dense = cut(_confirmed(blocked.select(columns).unionByName(pivots.select(columns)), ["root", "x"], percent))
+    first = dense.unionByName(little)
 
     # sets outside the largest component of their cluster may link with any other block
-    top = components(first).withColumnRenamed("root", "top")
-    members = large.select("root", "rep", "n", F.get("sizes", F.lit(0)).alias("size")).join(top, F.col("rep") == F.col("node"), "left")
-    members = cut(members.select("root", "rep", "n", "size", F.coalesce("top", "rep").alias("top")))
+    top = components(dense).withColumnRenamed("root", "top")
+    members = large.select("root", "rep", F.get("sizes", F.lit(0)).alias("size")).join(top, F.col("rep") == F.col("node"), "left")
+    members = cut(members.select("root", "rep", "size", F.coalesce("top", "rep").alias("top")))
     main = members.groupBy("root", "top").agg(F.count(F.lit(1)).alias("c"), F.min("size").alias("s"))
-    main = main.groupBy("root").agg(F.max_by("top", "c").alias("main"), F.min("s").alias("smallest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    open_ = members.join(small(main), "root")
-    if open_.isEmpty():
-        return first
+    main = cut(main.groupBy("root").agg(F.max_by("top", "c").alias("main"), F.min("s").alias("smallest"), F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
+    if main.isEmpty():
+        return cut(first)
     single = large.join(small(main.select("root")), "root").select("root", "rep", F.explode("flat").alias("x"))
     single = single.groupBy("root", "x").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("rep")).filter("c = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
     # a partner shares at least percent / (100 + percent) of both sizes, and is no smaller than percent of this one
     partner = F.greatest(F.col("smallest"), F.ceil(F.col("size") * percent / 100))
-    open_ = open_.join(single, "rep", "left").filter((F.col("size") - F.coalesce("own", F.lit(0))) * (100 + percent) >= percent * (F.col("size") + partner))
+    able = (F.col("size") - F.coalesce("own", F.lit(0))) * (100 + percent) >= percent * (F.col("size") + partner)
+    open_ = members.join(small(main), "root").join(single, "rep", "left").filter(able)
     open_ = cut(open_.select("root", "rep", (F.col("top") != F.col("main")).alias("apart")))
-    counts = open_.groupBy("root").agg(F.count_if("apart").alias("strays"), F.count(F.lit(1)).alias("all")).filter("strays > 0")
+    counts = cut(open_.groupBy("root").agg(F.count_if("apart").alias("strays"), F.count(F.lit(1)).alias("all")).filter("strays > 0"))
     if counts.isEmpty():
-        return first
-    rows = large.drop("n").join(open_.join(small(counts), "root").drop("root"), "rep")
+        return cut(first)
     blocks = lambda c: F.ceil(F.col(c) / BLOCK)
-    rows = rows.withColumns({"x": F.pmod(F.xxhash64("rep"), blocks("strays")), "y": F.pmod(F.xxhash64("rep"), blocks("all"))})
     spread = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), blocks(c) - 1))
-    rows = cut(rows)
+    wanted = cut(open_.join(small(counts), "root").select("rep", "apart", "strays", "all"))
+    rows = large.drop("n").join(small(wanted), "rep")
+    rows = cut(rows.withColumns({"x": F.pmod(F.xxhash64("rep"), blocks("strays")), "y": F.pmod(F.xxhash64("rep"), blocks("all"))}))
     keys = ["root", "strays", "all"]
     strays = _packed(rows.filter("apart").select(*keys, "x", "ids", "sizes", "flat"), [*keys, "x"]).withColumn("y", spread("all"))
     others = _packed(rows.select(*keys, "y", "ids", "sizes", "flat"), [*keys, "y"]).withColumn("x", spread("strays"))
     columns = ["root", "x", "y", "ids", "sizes", "flat"]
-    return first.unionByName(_confirmed(strays.select(columns).unionByName(others.select(columns)), ["root", "x", "y"], percent))
+    return cut(first.unionByName(_confirmed(strays.select(columns).unionByName(others.select(columns)), ["root", "x", "y"], percent)))
 
 
 class Linked:
@@ -338,10 +343,10 @@ class Linked:
         owners = filled.groupBy(*key).agg(F.min(F.struct("doc_id", "h")).alias("first")).select(*key, F.col("first.doc_id").alias("low"), "first.h")
         owners = cut(owners.withColumn("extra", F.lit(2**63 - 1) - F.monotonically_increasing_id()))
         again = owners.filter(F.col("low") != NO_ID).groupBy("low").agg(F.count(F.lit(1)).alias("sets"), F.min("extra").alias("other")).filter("sets > 1")
-        owners = owners.join(small(again.select("low", "other")), "low", "left")
+        owners = owners.join(again.select("low", "other"), "low", "left")
         plain = (F.col("low") != NO_ID) & (F.col("other").isNull() | (F.col("extra") == F.col("other")))
         #: the sets: key, low and h of their first row, rep (their name)
-        self.owners = owners.select(*key, "low", "h", F.when(plain, F.col("low")).otherwise(F.col("extra")).alias("rep"))
+        self.owners = cut(owners.select(*key, "low", "h", F.when(plain, F.col("low")).otherwise(F.col("extra")).alias("rep")))
         #: doc_id, h, rep of every row that has a set
         self.member = filled.select("doc_id", "h", *key).join(self.owners.select(*key, "rep"), key).select("doc_id", "h", "rep")
         first = self.owners.select(*key, F.col("low").alias("doc_id"), "h", "rep")
@@ -349,7 +354,7 @@ class Linked:
         near = _clusters(reps, coordinates, enough)
         near = near.union(near.select("root", "root").distinct()).toDF("rep", "root")
         near = near.join(near.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
-        wanted = first.select("doc_id", "h", "rep").join(small(cut(near)), "rep")
+        wanted = cut(first.select("doc_id", "h", "rep").join(near, "rep"))
         texts = docs.join(small(wanted), ["doc_id", "h"]).select("root", "n", "rep", "text").dropDuplicates(["rep"])
         #: a, b: links of sets
         self.links = _links(cut(_of_texts(texts, shingle)), percent)
@@ -365,17 +370,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, coordi
     table gives an empty result.
     """
     found = Linked(docs, shingle, percent, coordinates)
-    member = found.member.select("doc_id", "rep")
-    sets = member.filter(F.col("doc_id") != NO_ID).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter("b < top").drop("top")
-    links = found.links.unionByName(member.join(small(sets), "doc_id").filter("rep != b").select(F.col("rep").alias("a"), "b").distinct())
+    member, links = cut(found.member.select("doc_id", "rep")), found.links
+    several = member.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).filter((F.col("doc_id") != NO_ID) & (F.col("b") < F.col("top")))
+    several = cut(several.drop("top"))
+    if not several.isEmpty():
+        links = links.unionByName(member.join(small(several), "doc_id").filter("rep != b").select(F.col("rep").alias("a"), "b").distinct())
     roots = components(links)
-
-    # components that hold a set of a null id are that id's, which counts as the smallest
-    nulls = found.owners.filter(F.col("low") == NO_ID).select(F.col("rep").alias("node")).join(roots, "node", "left")
-    nulls = cut(nulls.select(F.coalesce("root", "node").alias("top")).distinct())
-    named = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("top", F.coalesce("root", "rep"))
-    named = named.join(small(nulls.withColumn("null", F.lit(NO_ID))), "top", "left")
-    whole = named.groupBy("doc_id").agg(F.min(F.coalesce("null", "top")).alias("root"))
+    named = member.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("top"))
+    nulls = found.owners.filter(F.col("low") == NO_ID)
+    if not nulls.isEmpty():  # components that hold a set of a null id are that id's, which counts as the smallest
+        nulls = nulls.select(F.col("rep").alias("node")).join(roots, "node", "left").select(F.coalesce("root", "node").alias("top")).distinct()
+        nulls = cut(nulls.withColumn("null", F.lit(NO_ID)))
+        named = named.join(small(nulls), "top", "left").select("doc_id", F.coalesce("null", "top").alias("top"))
+    whole = named.groupBy("doc_id").agg(F.min("top").alias("root"))
     out = found.signed.select("doc_id", "n_shingles").join(whole, "doc_id", "left")
     out = out.withColumn("component", F.coalesce("root", "doc_id"))
     return out.select(real_id(), "n_shingles", F.nullif("component", F.lit(NO_ID)).alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))

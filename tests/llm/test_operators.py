@@ -62,8 +62,10 @@ def groups(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(hubs, "HUB", 3)
+    monkeypatch.setattr(hubs, "FEW", few)
     edges = spark.createDataFrame([(i + 1, i) for i in range(50)] + [(100, 101), (7, 7)] + [(200, 300 + i) for i in range(30)] + [(999, 400 + i) for i in range(30)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 51)}, 101: 100, **{300 + i: 200 for i in range(30)}, **{400 + i: 400 for i in range(1, 30)}, 999: 400}
