@@ -10,7 +10,10 @@ gram form a context, which is named by the gram's hash and by a hash of all its
    and dealt to a shard by gram, at most SHARD contexts to a shard; a solver compares all windows of a shard.
 4. Windows of grams that needed several shards are merged across shards by binary search in sorted runs.
 
-Repeats are runs of window starts: doc_id, lo (first start), n.
+Repeats are runs of window starts: doc_id, side, lo (first start), n.
+
+A document is a doc_id and a side: rows that repeat an id with another text are documents of their own, in the
+order of side, a hash of the text (0 where no id repeats). Exact repeats of a row are one document and keep what it keeps.
 """
 
 from __future__ import annotations
@@ -106,6 +109,12 @@ def grams(values: np.ndarray, k: int) -> np.ndarray:
         power = power * power % (1 << 64)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with `side`, which tells rows of one doc_id and different texts apart."""
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return docs.withColumn("side", F.lit(0).cast("long") if again.isEmpty() else F.xxhash64("text"))
+
+
 def contexts(units: np.ndarray, at: np.ndarray, spec: Windows):
     """gram hash, context hash, row, first window start in the row, windows: of every context of the texts."""
     n = len(units)
@@ -149,19 +158,19 @@ def _pack(lo: np.ndarray, count: np.ndarray, flag: int) -> np.ndarray:
 
 def _settled(parts: list[tuple], within: bool) -> pa.RecordBatch:
     """Of equal contexts the earliest (of its document all, unless `within`) go on; the others are known to repeat it."""
-    g, c, doc, lo, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((lo, doc, g ^ words.mix(c)))
-    g, c, doc, lo, n = g[order], c[order], doc[order], lo[order], n[order]
+    g, c, doc, side, lo, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((lo, side, doc, g ^ words.mix(c)))
+    g, c, doc, side, lo, n = (x[order] for x in (g, c, doc, side, lo, n))
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
-    repeat = (doc != doc[head]) | (within & (lo != lo[head]))
+    repeat = (doc != doc[head]) | (side != side[head]) | (within & (lo != lo[head]))
     g = np.where(repeat, words.mix(doc.view(np.uint64) + lo.astype(np.uint64)), g)  # known repeats are spread evenly
-    order = np.lexsort((lo, doc))  # rows in the order of the texts take less room in the shuffle
-    g, c, doc, lo, n, repeat = g[order], c[order], doc[order], lo[order], n[order], repeat[order]
+    order = np.lexsort((lo, side, doc))  # rows in the order of the texts take less room in the shuffle
+    g, c, doc, side, lo, n, repeat = (x[order] for x in (g, c, doc, side, lo, n, repeat))
     return pa.RecordBatch.from_arrays(
-        [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(np.where(repeat, _pack(lo, n, 1), _pack(lo, n, 0)))],
-        names=["g", "c", "doc_id", "packed"],
+        [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(side), pa.array(np.where(repeat, _pack(lo, n, 1), _pack(lo, n, 0)))],
+        names=["g", "c", "doc_id", "side", "packed"],
     )
 
 
@@ -169,11 +178,11 @@ def _read(docs: DataFrame, spec: Windows) -> DataFrame:
     def make(batches):
         held, count = [], 0
         for batch in batches:
-            column, ids = batch.column("text"), batch.column("doc_id").to_numpy()
+            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
             for i, j in slices(utf8(column)[1], spec.chunk):
                 units, at = spec.units(column.slice(i, j - i))
                 g, c, row, lo, n = contexts(units, at, spec)
-                held.append((g, c, ids[i:j][row], lo, n))
+                held.append((g, c, ids[i:j][row], sides[i:j][row], lo, n))
                 count += len(g)
                 if count >= HELD:
                     yield _settled(held, spec.within)
@@ -181,34 +190,35 @@ def _read(docs: DataFrame, spec: Windows) -> DataFrame:
         if count:
             yield _settled(held, spec.within)
 
-    return docs.mapInArrow(make, "g long, c long, doc_id long, packed long")
+    return docs.mapInArrow(make, "g long, c long, doc_id long, side long, packed long")
 
 
 def _spotted(docs: DataFrame, spec: Windows) -> DataFrame:
-    """doc_id, packed, g, shard: known repeats (shard null) and contexts to be compared further."""
+    """doc_id, side, packed, g, shard: known repeats (shard null) and contexts to be compared further."""
     rows = _read(docs, spec)
-    equal = Window.partitionBy("g", "c").orderBy("doc_id", "packed")
-    rows = rows.withColumn("head", F.first("doc_id").over(equal))
+    equal = Window.partitionBy("g", "c").orderBy("doc_id", "side", "lo")
+    rows = rows.withColumn("lo", F.shiftright("packed", 21))
     if spec.within:
-        rows = rows.withColumn("later", F.row_number().over(equal) > 1)
+        rows = rows.withColumn("later", F.rank().over(equal) > 1)
     else:
-        rows = rows.withColumn("later", F.col("doc_id") > F.col("head"))
+        first = F.first(F.struct("doc_id", "side")).over(equal)
+        rows = rows.withColumn("later", F.struct("doc_id", "side") > first)
     rows = rows.withColumn("number", F.dense_rank().over(Window.partitionBy("g").orderBy("c")))
     rows = rows.withColumn("kinds", F.max("number").over(Window.partitionBy("g")))
     known = F.col("later") | (F.col("packed").bitwiseAND(F.lit(1)) == 1)
     shards = F.when(F.col("kinds") > SHARD, 1 + F.floor((F.col("number") - 1) / SHARD)).otherwise(F.lit(0))
     shard = F.when(~known, shards.cast("int"))
-    return rows.filter(known | (F.col("kinds") > 1)).select("doc_id", "packed", F.when(~known, F.col("g")).alias("g"), shard.alias("shard"))
+    return rows.filter(known | (F.col("kinds") > 1)).select("doc_id", "side", "packed", F.when(~known, F.col("g")).alias("g"), shard.alias("shard"))
 
 
 def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
-    """g, shard, doc_id, lo, n, units: known repeats joined to runs (shard null), and contexts with their units."""
-    wanted = spotted.groupBy("doc_id").agg(F.collect_list(F.struct("packed", "g", "shard")).alias("wanted"))
-    rows = docs.join(wanted, "doc_id")
+    """g, shard, doc_id, side, lo, n, units: known repeats joined to runs (shard null), and contexts with their units."""
+    wanted = spotted.groupBy("doc_id", "side").agg(F.collect_set(F.struct("packed", "g", "shard")).alias("wanted"))
+    rows = docs.join(wanted, ["doc_id", "side"])
 
     def read(batches):
         for batch in batches:
-            column, ids = batch.column("text"), batch.column("doc_id").to_numpy()
+            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
             lists = batch.column("wanted")
             ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             flat = lists.flatten()
@@ -227,19 +237,21 @@ def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
                 first = (at[:-1][row[open_]] + lo[open_]) * size
                 last = first + (n[open_] + spec.length - 1) * size
                 texts = [None] * len(r) + [raw[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+                of = np.concatenate((r, row[open_]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate((np.zeros(len(r), np.int64), g[open_]))),
                         pa.array(np.concatenate((np.full(len(r), -1), s[open_])).astype(np.int32)),
-                        pa.array(ids[i:j][np.concatenate((r, row[open_]))]),
+                        pa.array(ids[i:j][of]),
+                        pa.array(sides[i:j][of]),
                         pa.array(np.concatenate((a, lo[open_]))),
                         pa.array(np.concatenate((b - a, n[open_]))),
                         pa.array(texts, pa.binary()),
                     ],
-                    names=["g", "shard", "doc_id", "lo", "n", "units"],
+                    names=["g", "shard", "doc_id", "side", "lo", "n", "units"],
                 )
 
-    return rows.mapInArrow(read, "g long, shard int, doc_id long, lo long, n long, units binary")
+    return rows.mapInArrow(read, "g long, shard int, doc_id long, side long, lo long, n long, units binary")
 
 
 def joined(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,7 +276,7 @@ def _merged(rows: DataFrame, spec: Windows) -> DataFrame:
 
     def merge(batches):
         for held, group in _groups(batches, keys):
-            shard, doc, lo = (held.column(c).to_numpy() for c in ("shard", "doc_id", "lo"))
+            shard, doc, side, lo = (held.column(c).to_numpy() for c in ("shard", "doc_id", "side", "lo"))
             window = held.column("window").to_numpy()
             width = len(window[0])
             window = np.frombuffer(b"".join(window), f"S{width}")
@@ -281,17 +293,17 @@ def _merged(rows: DataFrame, spec: Windows) -> DataFrame:
                     hit = np.minimum(place, len(known) - 1)
                     same = window[known[hit]] == window[run]
                     old, new = known[hit[same]], run[same]
-                    later = (doc[new] > doc[old]) | ((doc[new] == doc[old]) & (lo[new] > lo[old]))
+                    later = (doc[new] > doc[old]) | ((doc[new] == doc[old]) & ((side[new] > side[old]) | ((side[new] == side[old]) & (lo[new] > lo[old]))))
                     known[hit[same]] = np.where(later, old, new)
                     known = np.insert(known, place[~same], run[~same])
                 least = known[np.searchsorted(window[known], window[own])]
-                out.append(own[(doc[own] != doc[least]) | (spec.within & (lo[own] != lo[least]))])
+                out.append(own[(doc[own] != doc[least]) | (side[own] != side[least]) | (spec.within & (lo[own] != lo[least]))])
             found = np.concatenate(out) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[found]), pa.array(lo[found]), pa.array(np.ones(len(found), np.int64))], names=["doc_id", "lo", "n"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[found]) for x in (doc, side, lo)), pa.array(np.ones(len(found), np.int64))], names=["doc_id", "side", "lo", "n"])
 
     rows = rows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(64)).cast("int"))
-    rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys, "shard", "window", "doc_id", "lo")
-    return rows.mapInArrow(merge, "doc_id long, lo long, n long")
+    rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys, "shard", "window", "doc_id", "side", "lo")
+    return rows.mapInArrow(merge, "doc_id long, side long, lo long, n long")
 
 
 def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
@@ -300,7 +312,7 @@ def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
 
     def run(batches):
         for held, group in _groups(batches, keys):
-            doc, lo, n = (held.column(c).to_numpy() for c in ("doc_id", "lo", "n"))
+            doc, side, lo, n = (held.column(c).to_numpy() for c in ("doc_id", "side", "lo", "n"))
             gram, shard = held.column("g").to_numpy(), held.column("shard").to_numpy()
             texts = held.column("units").to_pylist()
             size = np.array([len(t) for t in texts], np.int64)
@@ -309,37 +321,41 @@ def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
             while a < len(group):  # whole shards, some at a time
                 far = np.searchsorted(np.cumsum(size[a:]), SOLVED, "right") + a
                 b = int(ends[min(np.searchsorted(ends, max(far, a + 1)), len(ends) - 1)])
-                repeats, kept, names = solve(texts[a:b], doc[a:b], lo[a:b], n[a:b], np.flatnonzero(shard[a:b] > 0), spec)
+                # documents by their rank in the order of doc_id and side
+                rank = np.unique(np.rec.fromarrays((doc[a:b], side[a:b])), return_inverse=True)[1]
+                repeats, kept, names = solve(texts[a:b], rank, lo[a:b], n[a:b], np.flatnonzero(shard[a:b] > 0), spec)
                 r, s, e = joined(repeats[0], repeats[1], repeats[1] + 1)
                 r, owner = r + a, kept[0] + a
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate((doc[r], doc[owner]))),
+                        pa.array(np.concatenate((side[r], side[owner]))),
                         pa.array(np.concatenate((s, kept[1]))),
                         pa.array(np.concatenate((e - s, np.ones(len(owner), np.int64)))),
                         pa.array(np.concatenate((gram[r], gram[owner]))),
                         pa.array(np.concatenate((shard[r], shard[owner]))),
                         pa.array([None] * len(r) + names, pa.binary()),
                     ],
-                    names=["doc_id", "lo", "n", "g", "shard", "window"],
+                    names=["doc_id", "side", "lo", "n", "g", "shard", "window"],
                 )
                 a = b
 
     rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(run, "doc_id long, lo long, n long, g long, shard int, window binary")
+    return rows.mapInArrow(run, "doc_id long, side long, lo long, n long, g long, shard int, window binary")
 
 
 def repeats(docs: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
-    """doc_id, runs array<struct<lo, n>>: the starts of windows that also start earlier, for documents that have any.
+    """doc_id, side, runs array<struct<lo, n>>: the starts of windows that also start earlier, for documents that have any.
 
-    solve(contexts, doc ids, first starts, windows, contexts whose windows go on, spec) returns repeats
-    (context numbers and starts in the document), kept windows (likewise) and their names as equal-length bytes.
+    docs: doc_id, side, text. solve(contexts, documents' ranks, first starts, windows, contexts whose windows go on,
+    spec) returns repeats (context numbers and starts in the document), kept windows (likewise) and their names as
+    equal-length bytes.
     """
     fetched = cut(_fetched(docs, _spotted(docs, spec), spec))
     free(docs.sparkSession)
     solved = cut(_solved(fetched.filter("shard >= 0"), spec, solve))
     free(docs.sparkSession)
-    merged = _merged(solved.filter("window IS NOT NULL").select("g", "shard", "doc_id", "lo", "window"), spec)
-    found = fetched.filter("shard < 0").select("doc_id", "lo", "n")
-    found = found.unionByName(solved.filter("window IS NULL").select("doc_id", "lo", "n")).unionByName(merged)
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+    merged = _merged(solved.filter("window IS NOT NULL").select("g", "shard", "doc_id", "side", "lo", "window"), spec)
+    run = ["doc_id", "side", "lo", "n"]
+    found = fetched.filter("shard < 0").select(run).unionByName(solved.filter("window IS NULL").select(run)).unionByName(merged)
+    return found.groupBy("doc_id", "side").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))

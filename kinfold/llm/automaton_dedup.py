@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.anchors import Windows, joined, repeats, word_units, word_values
+from kinfold.llm.anchors import Windows, joined, keyed, repeats, word_units, word_values
 from kinfold.llm.common import real_id, texts_of, utf8
 
 
@@ -153,10 +153,13 @@ def cut_out(docs: DataFrame, length: int = 50) -> DataFrame:
     """doc_id, kept (remaining words joined by one space, UTF-8), n_words, n_removed of every row.
 
     A word goes if a window of `length` words that covers it also starts in a smaller doc_id. Words are runs
-    without ASCII white space, unchanged. Null texts have none; rows that repeat a doc_id share its
-    removals and don't repeat each other; a null doc_id is the smallest. Other columns are ignored.
+    without ASCII white space, unchanged. Null and empty texts have none. A null doc_id is the smallest. Rows of one
+    doc_id and different texts are documents one after the other, in the order of a hash of the text; exact repeats of
+    a row are one document, and each of them keeps what it keeps. Windows that repeat within one document stay, so
+    there are no ties. A text of any length is read whole. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
     """
-    rows = texts_of(docs)
+    rows = keyed(texts_of(docs))
     found = repeats(rows, word_windows(length), solve)
 
     def apply(batches):
@@ -167,7 +170,7 @@ def cut_out(docs: DataFrame, length: int = 50) -> DataFrame:
             lo, n = flat.field("lo").to_numpy(), flat.field("n").to_numpy()
             yield _without(batch, *joined(np.repeat(np.arange(batch.num_rows), count), lo, lo + n - 1 + length))
 
-    return rows.join(found, "doc_id", "left").mapInArrow(apply, KEPT)
+    return rows.join(found, ["doc_id", "side"], "left").mapInArrow(apply, KEPT)
 
 
 def against(docs: DataFrame, reference: DataFrame, length: int = 50, limit: int = 2_000_000) -> DataFrame:

@@ -353,7 +353,9 @@ class Linked:
         reps = cut(filled.join(first, [*key, "doc_id", "h"]).select(F.col("rep").alias("doc_id"), "sig").dropDuplicates(["doc_id"]))
         near = _clusters(reps, coordinates, enough)
         near = near.union(near.select("root", "root").distinct()).toDF("rep", "root")
-        near = near.join(near.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root")
+        # only the sizes of large clusters matter: of those there are at most a BLOCK-th of the sets
+        large = cut(near.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK))
+        near = near.join(small(large), "root", "left").withColumn("n", F.coalesce("n", F.lit(1)))
         wanted = cut(first.select("doc_id", "h", "rep").join(near, "rep"))
         texts = docs.join(small(wanted), ["doc_id", "h"]).select("root", "n", "rep", "text").dropDuplicates(["rep"])
         #: a, b: links of sets

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, repeats
+from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, keyed, repeats
 from kinfold.llm.common import real_id, texts_of, utf8
 
 GRAM = 24
@@ -127,13 +127,15 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
 
     A byte goes if a string of `length` bytes that covers it also starts earlier: in a smaller doc_id, or in
     the same document further to the front. With whole_characters, a character of which only some bytes
-    would go stays whole. Null texts are empty; rows that repeat a doc_id share its removals; a null doc_id is
-    the smallest. Other columns are ignored.
+    would go stays whole. Null and empty texts have no bytes, and so no spans. A null doc_id is the smallest. Rows of
+    one doc_id and different texts are documents one after the other, in the order of a hash of the text; exact
+    repeats of a row are one document, and each of them keeps what it keeps. Of equal strings the earliest start
+    stays, so there are no ties. A text of any length is read whole. An empty table gives an empty result; columns
+    other than `keep` are ignored, whatever their names.
     """
-    rows = texts_of(docs)
-    found = repeats(rows, byte_windows(length), solve)
     carried = [f"_{i}" for i in range(len(keep))]  # names that can't clash
-    rows = texts_of(docs, *[F.col(c).alias(n) for c, n in zip(keep, carried, strict=True)])
+    rows = keyed(texts_of(docs, *[F.col(c).alias(n) for c, n in zip(keep, carried, strict=True)]))
+    found = repeats(rows.select("doc_id", "side", "text"), byte_windows(length), solve)
 
     def apply(batches):
         for batch in batches:
@@ -170,7 +172,7 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
             )
 
     schema = "doc_id long, " + "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in carried)
-    out = rows.join(found, "doc_id", "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+    out = rows.join(found, ["doc_id", "side"], "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
     return out.withColumnsRenamed(dict(zip(carried, keep, strict=True)))
 
 

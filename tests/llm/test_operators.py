@@ -187,6 +187,33 @@ def test_byte_repeats(spark, rows, length, shard, monkeypatch):
     assert sum(map(sum, gone.values())) > 500
 
 
+def documents_in_order(spark, rows):
+    """(doc_id, text) without exact repeats, by doc_id (null first) and a hash of the text."""
+    plain = spark.createDataFrame([(i, t or "") for i, t in rows], "doc_id long, text string").distinct()
+    got = plain.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    return [(r["doc_id"], r["text"]) for r in sorted(got, key=lambda r: (-(2**63) if r["doc_id"] is None else r["doc_id"], r["h"]))]
+
+
+@pytest.mark.parametrize("shard", [2, 1024])
+def test_repeats_among_rows_of_one_id(spark, shard, monkeypatch):
+    monkeypatch.setattr(anchors, "SHARD", shard)
+    rng = random.Random(12)
+    part = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(30)}" for _ in range(60)) for _ in range(4)]
+    rows = [(1, part[0]), (1, part[0]), (2, part[0]), (7, part[0]), (7, part[1] + " " + part[2]), (7, part[3]), (None, part[2]), (None, part[2]), (None, part[1]), (9, part[1] + " x " + part[3]), (None, None), (None, ""), (8, part[0][:200])]
+    order = documents_in_order(spark, rows)
+    gone = removed({k: t.encode() for k, (_, t) in enumerate(order)}, 100, True)
+    want = {(i, hashlib.sha256(bytes(x for x, g in zip(t.encode(), gone[k]) if not g)).hexdigest(), sum(gone[k])) for k, (i, t) in enumerate(order)}
+    got = suffix_dedup.digest(frame(spark, rows), 100).collect()
+    assert {(r["doc_id"], r["kept_sha256"], r["n_removed"]) for r in got} == want
+    assert len(got) == len(rows)
+    gone = removed({k: t.split() for k, (_, t) in enumerate(order)}, 50, False)
+    want = {(i, hashlib.sha256(" ".join(x for x, g in zip(t.split(), gone[k]) if not g).encode()).hexdigest(), sum(gone[k])) for k, (i, t) in enumerate(order)}
+    got = automaton_dedup.digest(frame(spark, rows), 50).collect()
+    assert {(r["doc_id"], r["kept_sha256"], r["n_removed"]) for r in got} == want
+    assert len(got) == len(rows)
+    assert suffix_dedup.digest(frame(spark, [])).count() == automaton_dedup.digest(frame(spark, [])).count() == 0
+
+
 def test_whole_characters(spark):
     text = "é" * 80
     rows = [(1, "a" + text), (2, "b" + text[:70] + "x")]
