@@ -41,7 +41,7 @@ def corrected(rows: DataFrame, token: str, words: DataFrame, threshold: int = 2,
     """
     distinct = rows.select(F.col(token).alias("_t")).distinct().filter(F.length("_t") >= least)
     near = distinct.withColumn("_n", F.explode(F.sequence(F.length("_t") - threshold, F.length("_t") + threshold)))
-    pairs = near.join(F.broadcast(words.select("position", "word", F.length("word").alias("_n"))), "_n")
+    pairs = near.join(words.select("position", "word", F.length("word").alias("_n")), "_n")
     hits = pairs.filter(F.levenshtein(F.lower("_t"), F.lower("word"), threshold) >= 0)
     best = hits.groupBy("_t").agg(F.min_by("word", "position").alias("_w"))
     return rows.join(best, F.col(token) == F.col("_t"), "left").withColumn("corrected", F.coalesce("_w", token)).drop("_t", "_w")
@@ -117,15 +117,18 @@ def relaxed_key(name: Column, uuid: Column, words: tuple[str, ...] = ()) -> Colu
 
 
 def key_and_canopies(name: Column, uuid: Column, phrases: tuple[str, ...] = STOP_PHRASES) -> tuple[Column, Column]:
-    """The roll-up key, and the blocks: first four letters of each token of three or more, acronyms of the raw name, else the key."""
+    """The roll-up key, and the blocks: first four letters of each token of three or more, acronyms of the normalised name, else the key."""
 
-    def both(cleaned: Column) -> Column:
+    def both(plain: Column) -> Column:
+        return let(clean(plain), lambda cleaned: keys(plain, cleaned))
+
+    def keys(plain: Column, cleaned: Column) -> Column:
         key = F.coalesce(F.nullif(F.translate(cleaned, " ", ""), F.lit("")), F.nullif(cleaned, F.lit("")), F.nullif(name, F.lit("")), uuid)
         heads = F.filter(F.transform(F.split(cleaned, " "), lambda t: F.substring(t, 1, 4)), lambda t: F.length(t) >= 3)
-        blocks = F.concat(heads, F.filter(F.transform(acronyms(name), F.lower), lambda t: t != ""))
+        blocks = F.concat(heads, F.filter(F.transform(acronyms(plain), F.lower), lambda t: t != ""))
         return F.struct(key.alias("key"), F.when(F.size(blocks) > 0, blocks).otherwise(F.array(key)).alias("blocks"))
 
-    out = let(clean(split_name(normalized(name, phrases))), both)
+    out = let(split_name(normalized(name, phrases)), both)
     return out["key"], out["blocks"]
 
 

@@ -192,11 +192,9 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     Nodes of any ordered type; the driver sees counts only.
     """
-    import tempfile
-
-    context = edges.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(edges.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinfold-"))
+    spark = edges.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     both = edges.filter("a != b").select("a", "b").union(edges.filter("a != b").select("b", "a")).distinct().checkpoint()
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     now = nodes.select("node", F.col("node").alias("root")).checkpoint()

@@ -66,10 +66,10 @@ def routed(rows: DataFrame, first: DataFrame, second: DataFrame, key: str) -> Da
 
 
 def cascade(rows: DataFrame, table: DataFrame, key: str, value: str, probes: list[Column]) -> DataFrame:
-    """Adds value: that of the first probe which the table knows; null if none. The table is a small dictionary."""
-    out = rows
+    """Adds value: that of the first probe which the table knows (of a repeated key the least value); null if none."""
+    out, table = rows, table.groupBy(key).agg(F.min(value).alias(value))
     for i, probe in enumerate(probes):
-        side = F.broadcast(table.select(F.col(key).alias(f"_k{i}"), F.col(value).alias(f"_v{i}")))
+        side = table.select(F.col(key).alias(f"_k{i}"), F.col(value).alias(f"_v{i}"))
         out = out.withColumn(f"_p{i}", probe).join(side, F.col(f"_p{i}") == F.col(f"_k{i}"), "left")
     n = range(len(probes))
     return out.withColumn(value, F.coalesce(*[F.col(f"_v{i}") for i in n])).drop(*[f"_{x}{i}" for i in n for x in "pkv"])

@@ -43,9 +43,9 @@ def canopy_sizes(spark, d):
     return canopies(spark, d).groupBy("canopy").agg(count())
 
 
-@query(f"SELECT canopy, uuid FROM (SELECT canopy, uuid, count(*) OVER (PARTITION BY canopy) AS c FROM {CANOPY_SQL}) WHERE c BETWEEN 25 AND 40")
+@query(f"SELECT canopy, uuid FROM (SELECT canopy, uuid, count(*) OVER (PARTITION BY canopy) AS c FROM {CANOPY_SQL}) WHERE c BETWEEN 3 AND 400")
 def canopy_size_filter(spark, d):
-    return rel.sized(canopies(spark, d), "canopy", 25, 40).select("canopy", "uuid")
+    return rel.sized(canopies(spark, d), "canopy", 3, 400).select("canopy", "uuid")
 
 
 @query("SELECT c_name AS canopy, CAST(min(c_custkey) AS VARCHAR) AS label FROM customer GROUP BY c_name HAVING count(*) = 1")
@@ -303,7 +303,10 @@ def running_batches(spark, d):
     return rel.ranged(canopy_sizes(spark, d), F.col("canopy"), value=F.col("n"))
 
 
-@query()
+@query(f"""WITH RECURSIVE s AS (SELECT substr(canopy, 1, 4) AS g, canopy, count(*) AS n, row_number() OVER (PARTITION BY substr(canopy, 1, 4) ORDER BY canopy) AS r FROM {CANOPY_SQL} GROUP BY canopy),
+ b(g, r, canopy, n, batch, total) AS (SELECT g, r, canopy, n, 0, n FROM s WHERE r = 1 UNION ALL
+  SELECT s.g, s.r, s.canopy, s.n, CASE WHEN b.total >= 100 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.total >= 100 THEN 0 ELSE b.total END + s.n FROM b JOIN s ON s.g = b.g AND s.r = b.r + 1)
+SELECT g, canopy, n, batch FROM b""")
 def batches_with_reset(spark, d):
     return rel.batches(canopy_sizes(spark, d).withColumn("g", F.substring("canopy", 1, 4)), "g", "canopy", "n", 100)
 
@@ -381,7 +384,9 @@ def org_normalize(spark, d):
     return t(spark, d, "customer").select("c_custkey", F.trim(org.normalized(F.col("c_name"))).alias("name"))
 
 
-@query()
+@query("""WITH t AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS token FROM part), w AS (SELECT token AS word FROM t WHERE length(token) >= 4),
+ m AS (SELECT t.token, min(w.word) AS word FROM t JOIN w ON length(t.token) >= 4 AND levenshtein(t.token, w.word) <= 2 GROUP BY 1)
+SELECT t.token, coalesce(m.word, t.token) AS corrected FROM t LEFT JOIN m ON t.token = m.token""")
 def token_correction(spark, d):
     tokens = t(spark, d, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("token"))
     words = tokens.distinct().filter(F.length("token") >= 4).select((F.dense_rank().over(Window.orderBy("token"))).alias("position"), F.col("token").alias("word"))
@@ -465,9 +470,8 @@ def must_not_link_pairs(spark, d):
 
 @query("SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS sim FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.3")
 def dense_cosine_pairs(spark, d):
-    p = scoring.pairs(t(spark, d, "embeddings"), "label", "vec_id", ["embedding"])
-    sim = scoring.cosine(F.col("embedding_a"), F.col("embedding_b"))
-    return p.select(F.col("vec_id_a").alias("a"), F.col("vec_id_b").alias("b"), sim.alias("s")).filter("s >= 0.3").select("a", "b", F.round("s", 4).alias("sim"))
+    p = scoring.dense_pairs(t(spark, d, "embeddings"), "label", "vec_id", "embedding", 0.3)
+    return p.select(F.col("vec_id_a").alias("a"), F.col("vec_id_b").alias("b"), F.round("sim", 4).alias("sim"))
 
 
 @query("SELECT s, round(1/(1+greatest(s,-20000.0)+20000.0), 9) AS dist FROM (SELECT DISTINCT CAST(p_size AS DOUBLE) - 25 AS s FROM part)")
@@ -510,7 +514,7 @@ def location_rule_pairs(spark, d):
 
 @query("SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS root FROM documents")
 def threshold_components(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", F.xxhash64("text").alias("h"))
+    docs = t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
     first = docs.groupBy("h").agg(F.min("doc_id").alias("b"))
     edges = docs.join(first, "h").filter("doc_id != b").select(F.col("doc_id").alias("a"), "b")
     return docs.select("doc_id").join(clustering.components(edges).withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
@@ -572,9 +576,10 @@ def overlap_alignment(spark, d):
     return evaluation.aligned(line.select("id", F.col("l_suppkey").alias("label")), line.select("id", (F.col("l_suppkey") % 40).alias("label")), "id", 50)
 
 
-@query()
+@query("""SELECT CAST(doc_id AS VARCHAR) AS canopy, CASE WHEN CAST('0x' || substr(md5(min('b' || doc_id) OVER (PARTITION BY text)), 1, 8) AS BIGINT) % 5 = 0 THEN 'dev' ELSE 'train' END AS part
+FROM documents JOIN labels USING (doc_id)""")
 def train_dev_split(spark, d):
-    rows = t(spark, d, "documents").join(t(spark, d, "labels").select("doc_id"), "doc_id").select(F.col("doc_id").alias("canopy"), F.xxhash64("text").alias("entity"))
+    rows = t(spark, d, "documents").join(t(spark, d, "labels").select("doc_id"), "doc_id").select(F.col("doc_id").alias("canopy"), F.sha2("text", 256).alias("entity"))
     return evaluation.split(rows, "canopy", "entity")
 
 

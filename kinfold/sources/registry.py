@@ -96,14 +96,25 @@ def of_canopies(canopies: DataFrame, mentions: DataFrame, wanted: DataFrame) ->
     return canopies.join(wanted, "canopy", "left_semi").join(mentions, "uuid")
 
 
-def tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Tab-separated rows; those of a wrong arity go. first and last choose lines of one file by number from 0."""
+def tsv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, first: int | None = None, last: int | None = None, quote: str = '"') -> DataFrame:
+    """Tab-separated rows; those of a wrong arity go. first and last choose lines of each file by number from 0, both
+    included, a header not counted; quote='' reads quotation marks as they are."""
     text = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    rows = spark.read.csv(path, sep="\t", header=header, schema=text, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", quote='"')
+    rows = spark.read.csv(path, sep="\t", header=header, schema=text, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", quote=quote)
     if first is not None or last is not None:
-        rows = rows.withColumn("_n", F.monotonically_increasing_id())
-        rows = rows.filter(F.col("_n").between(first or 0, (1 << 62) if last is None else last)).drop("_n")
-    return rows.filter("_bad IS NULL").drop("_bad")
+        rows = numbered(rows).filter(F.col("_n").between(first or 0, (1 << 62) if last is None else last)).drop("_n")
+    # all columns are named, since the arity of a line shows only where none is pruned
+    return rows.filter(F.col("_bad").isNull() & (F.concat_ws("", *schema.names) >= "")).drop("_bad")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds _n, each row's number within its file from 0: its number in its part of the file, and the rows of the parts before."""
+    held = rows.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
+    parts = held.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_f", "_b", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"))
+    own = F.row_number().over(Window.partitionBy("_f", "_b").orderBy("_m")) - 1
+    return held.withColumn("_r", own).join(parts, ["_f", "_b"]).withColumn("_n", F.col("_r") + F.col("_s")).drop("_f", "_b", "_m", "_r", "_s")
 
 
 def families(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -31,5 +31,6 @@ def unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def small_merges(log: DataFrame, path: str, below: int = 50) -> None:
-    """Appends the merges of few elements to the log of dendrograms."""
-    log.filter(F.col("elements") < below).write.mode("append").option("header", True).csv(path)
+    """Appends the merges of few elements to the log of dendrograms: CSV without a header, lists of keys as JSON."""
+    plain = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name) for f in log.schema.fields]
+    log.filter(F.col("elements") < below).select(*plain).write.mode("append").csv(path, escape='"')

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +16,7 @@ def counts(stream: DataFrame, time: str, block: str, window: str = "1 hour", lat
 
 
 def shared_folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinfold-stream-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_streams"
     return f"{base}/{uuid.uuid4().hex}"
 
 

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kinfold.operators import clustering, evaluation, relational
+from kinfold.operators import clustering, evaluation, relational, scoring
 from kinfold.sources import registry, sinks
 
 
@@ -110,36 +110,81 @@ def test_batches_reset(spark):
     assert got == {"k0": 0, "k1": 0, "k2": 1, "k3": 2, "k4": 2}
 
 
-def test_files_round_trip(spark, tmp_path):
+def test_mapping_file_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("m1", "e1"), ("m2", "e1")], "mention string, entity string")
     sinks.mapping_file(rows, str(tmp_path / "map"))
     assert sorted(map(tuple, registry.tsv(spark, str(tmp_path / "map"), registry.PAIR_FILE, header=False).collect())) == [("m1", "e1"), ("m2", "e1")]
-    (tmp_path / "bad.tsv").write_text("a\tb\nonly\nc\td\n")
-    assert registry.tsv(spark, str(tmp_path / "bad.tsv"), registry.PAIR_FILE, header=False).count() == 2
+
+
+def test_lines_of_wrong_arity_go(spark, tmp_path):
+    (tmp_path / "bad.tsv").write_text("a\tb\nonly\nc\td\nx\ty\tz\n")
+    rows = registry.tsv(spark, str(tmp_path / "bad.tsv"), registry.PAIR_FILE, header=False)
+    assert rows.count() == 2 and sorted(map(tuple, rows.collect())) == [("a", "b"), ("c", "d")]
+
+
+def test_line_ranges_of_split_files(spark, tmp_path):
+    (tmp_path / "long.tsv").write_text("mention\tentity\n" + "".join(f"m{i}\te{i}\n" for i in range(9000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = registry.tsv(spark, str(tmp_path / "long.tsv"), registry.PAIR_FILE, first=5000, last=5009)
+        assert sorted(r["mention"] for r in rows.collect()) == [f"m{i}" for i in range(5000, 5010)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quotes_are_kept_where_quoting_is_off(spark, tmp_path):
+    (tmp_path / "q.tsv").write_text('"a\tb"\n')
+    assert tuple(registry.tsv(spark, str(tmp_path / "q.tsv"), registry.PAIR_FILE, header=False, quote="").first()) == ('"a', 'b"')
+
+
+def test_dictionaries(spark, tmp_path):
     (tmp_path / "words.txt").write_text("one\n\ntwo three\n")
     assert [r["word"] for r in registry.dictionary(spark, str(tmp_path / "words.txt")).orderBy("position").collect()] == ["one", "two three"]
     (tmp_path / "ab.json").write_text('{"co": "company"}')
     assert registry.dictionary(spark, str(tmp_path / "ab.json")).first()["value"] == "company"
+    (tmp_path / "codes.csv").write_text('"korea, south",kr\nfrance,\n')
+    assert sorted(map(tuple, registry.codes(spark, str(tmp_path / "codes.csv")).collect()), key=str) == [("france", None), ("korea, south", "kr")]
+
+
+def test_families(spark, tmp_path):
     (tmp_path / "fam.csv").write_text("number,patent,kind,docdb,inpadoc\n1,P1,A,d1,i1\n2,P2,A,d1,i2\n")
     docdb, inpadoc = registry.families(spark, str(tmp_path / "fam.csv"))
     assert docdb.count() == 1
     assert inpadoc.count() == 2
+
+
+def test_results_and_absent_sources(spark, tmp_path):
+    rows = spark.createDataFrame([("m1", "e1"), ("m2", "e1")], "mention string, entity string")
     sinks.table(rows, str(tmp_path / "run" / "job-1"))
     sinks.table(rows, str(tmp_path / "run" / "job-2-internals"))
     assert registry.results(spark, str(tmp_path / "run")).count() == 2
+    assert registry.newer_than(spark.read.parquet(str(tmp_path / "run" / "job-1")), "2000-01-01").count() == 2
     assert registry.Source("gone", "none").read(spark).count() == 0
 
 
-def test_incremental_stream(spark, tmp_path):
-    from kinfold.streaming.canopies import incremental
-
-    (tmp_path / "in").mkdir()
-    first = spark.createDataFrame([("a", 1), ("b", 2)], "canopy string, id int")
-    first.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    names = [str(tmp_path / x) for x in ("state", "target", "check")]
-    run = lambda: incremental(spark.readStream.schema(first.schema).parquet(str(tmp_path / "in")), names[0], "canopy", lambda df: df.groupBy("canopy").count(), names[1], names[2]).awaitTermination()
-    run()
-    spark.createDataFrame([("a", 3)], "canopy string, id int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    run()
-    got = {(r["batch"], r["canopy"]): r["count"] for r in spark.read.parquet(names[1]).collect()}
-    assert got == {(0, "a"): 1, (0, "b"): 1, (1, "a"): 2}
+def test_log_of_small_merges(spark, tmp_path):
+    rows = spark.createDataFrame([("a", i, float(i * i)) for i in range(4)], "canopy string, id long, x double")
+    distance = lambda held: np.abs(held["x"].to_numpy()[:, None] - held["x"].to_numpy()[None])
+    log = clustering.merge_table(rows, "canopy", "id", ["x"], distance)
+    for _ in range(2):
+        sinks.small_merges(log, str(tmp_path / "log"), below=4)
+    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "log")).collect())
+    assert len(lines) == 4 and lines[0] == lines[1] and lines[0].startswith('a,0,"[""0""]","[""1""]"')
+
+
+def test_crowded_keys_and_layouts(spark):
+    rows = spark.createDataFrame([("1234567890", "x"), ('"123"', "y")], "patent_id string, uuid string")
+    assert sorted(map(tuple, registry.assignee_rows(rows).select("uuid", "patent_id", "document_number").collect())) == [("x", None, "1234567890"), ("y", "123", None)]
+    assert sinks.unique_key(rows.union(rows.limit(1)), ["uuid"]).count() == 1
+    canopies, mentions = spark.createDataFrame([("c", "x"), ("d", "y")], "canopy string, uuid string"), rows
+    assert registry.of_canopies(canopies, mentions, spark.createDataFrame([("c",)], "canopy string")).first()["uuid"] == "x"
+
+
+def test_dense_pairs_in_parts(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, i % 2, [float(x) for x in rng.normal(size=3)]) for i in range(40)] + [(90, 0, None), (91, 0, [0.0] * 3)]
+    got = scoring.dense_pairs(spark.createDataFrame(data, "id long, block int, v array<double>"), "block", "id", "v", 0.3, size=7).collect()
+    unit = {i: (b, np.array(v) / np.linalg.norm(v)) for i, b, v in data[:40]}
+    want = {(i, j) for i in unit for j in unit if i < j and unit[i][0] == unit[j][0] and unit[i][1] @ unit[j][1] >= 0.3}
+    assert {(r["id_a"], r["id_b"]) for r in got} == want and len(got) == len(want)
