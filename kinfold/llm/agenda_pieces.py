@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import words
 from kinfold.llm.bpe import Pairs, spread
-from kinfold.llm.common import real_id, slices, texts_of, utf8
+from kinfold.llm.common import Memo, real_id, slices, texts_of, utf8
 
 SPACE = "▁"
-#: When a worker has kept so many segments' encodings, those not met among the next so many are dropped.
-MEMO = 400_000
+#: Bytes of segments that a worker keeps with their encodings, twice at the most.
+ROOM = 80_000_000
 _MODELS: dict = {}
 
 
@@ -54,8 +54,7 @@ class Model:
             if len(text) == 1:
                 self.single[ord(text)] = i
         self.reach = any(SPACE in p.strip(SPACE) or (p[:1] != SPACE and SPACE in p) or "\n" in p for p in self.piece)
-        self.memo: dict[int, tuple[bytes, str]] = {}
-        self.older: dict[int, tuple[bytes, str]] = {}
+        self.memo = Memo(ROOM)
         self.decimal = [str(i) for i in range(n)]
 
     def symbol(self, text: str) -> int | None:
@@ -75,6 +74,15 @@ class Model:
         size_at = np.concatenate(([0], np.cumsum(sizes)))
         return np.fromiter(chain.from_iterable(spelled), np.int32, int(size_at[-1])), size_at[at[1:]] - size_at[at[:-1]]
 
+    def encoded(self, segments: list[bytes]) -> list[tuple[bytes, str]]:
+        """For each segment its ids as 32-bit numbers and as decimals joined by spaces, checked against the library."""
+        texts = [s.decode("utf-8", "replace").replace(" ", SPACE) for s in segments]
+        flat, counts = self.encode(texts)
+        self.check(texts, flat, counts)
+        raw, spelled = flat.astype(np.int32).tobytes(), list(map(self.decimal.__getitem__, flat.tolist()))
+        stop = np.cumsum(counts).tolist()
+        return [(raw[4 * a : 4 * b], " ".join(spelled[a:b])) for a, b in zip([0, *stop[:-1]], stop, strict=True)]
+
     def check(self, segments: list[str], flat: np.ndarray, counts: np.ndarray, group: int = 64) -> None:
         """Compares with the library, which encodes texts of `group` segments parted by line ends."""
         line = self.bytes[10]
@@ -121,27 +129,10 @@ def encoded(model: Model, texts: list[bytes]):
     if not len(starts):
         yield from (([], b"") for _ in texts)
         return
-    names, at, back = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
-    if len(model.memo) > MEMO:
-        model.memo, model.older = {}, model.memo
-    memo, older = model.memo, model.older
-    names = names.tolist()
-    memo.update((name, older[name]) for name in names if name in older and name not in memo)
-    new = [k for k, name in enumerate(names) if name not in memo]
-    if new:
-        raw = data.tobytes()
-        places = at[new]
-        segments = [raw[a:b].decode("utf-8", "replace").replace(" ", SPACE) for a, b in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
-        flat, counts = model.encode(segments)
-        model.check(segments, flat, counts)
-        raw = flat.astype(np.int32).tobytes()
-        stop = (4 * np.cumsum(counts)).tolist()
-        spelled = list(map(model.decimal.__getitem__, flat.tolist()))
-        begin = 0
-        for k, end in zip(new, stop, strict=True):
-            memo[names[k]] = raw[begin:end], " ".join(spelled[begin >> 2 : end >> 2])  # bytes, which the collector needn't walk
-            begin = end
-    packed, spelled = zip(*map(memo.__getitem__, names), strict=True)
+    _, at, back = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
+    raw = data.tobytes()
+    distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+    packed, spelled = zip(*model.memo.find(distinct, model.encoded), strict=True)
     sizes = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
     flat = np.frombuffer(b"".join(packed), np.int32)
     ids = flat[spread((np.cumsum(sizes) - sizes)[back], sizes[back])].tolist()
@@ -154,8 +145,10 @@ def encoded(model: Model, texts: list[bytes]):
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: all ids with the end id, and their decoding.
 
-    Null is the empty text, whose only id is the end. Repeated rows give equal rows; other columns are ignored.
-    `path` names the vocabulary file, which every executor can read.
+    Null is the empty text, whose only id is the end. Repeated rows give equal rows; a null doc_id stays null; texts of any
+    length are read whole, 4 MB of texts at a time; of pairs of equal score the leftmost merges first. An empty table gives
+    an empty result; other columns are ignored, whatever their names. `path` names the vocabulary file, which every
+    executor can read.
     """
 
     def apply(batches):

@@ -73,6 +73,33 @@ def small(ids: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= limit else ids
 
 
+class Memo:
+    """Values of byte strings in two generations: when the newer one holds `room` bytes, what wasn't met since then goes.
+
+    Workers outlive a stage, so a memo is bounded by its bytes; each entry counts EACH bytes besides its own.
+    """
+
+    EACH = 160
+
+    def __init__(self, room: int):
+        self.room, self.held = room, 0
+        self.new: dict[bytes, tuple] = {}
+        self.old: dict[bytes, tuple] = {}
+
+    def find(self, keys: list[bytes], make) -> list[tuple]:
+        """The value of each key: a tuple of byte strings or texts, made by make(keys) for keys that aren't held."""
+        if self.held > self.room:
+            self.new, self.old, self.held = {}, self.new, 0
+        new, old = self.new, self.old
+        missing = [k for k in keys if k not in new]
+        again = {k: old[k] for k in missing if k in old}
+        fresh = [k for k in missing if k not in again] if again else missing
+        again.update(zip(fresh, make(fresh) if fresh else (), strict=True))
+        new.update(again)
+        self.held += sum(self.EACH + len(k) + sum(map(len, v)) for k, v in again.items())
+        return list(map(new.__getitem__, keys))
+
+
 def crc_bucket(ids: np.ndarray, mod: int) -> np.ndarray:
     """crc32 of each id's decimal text, modulo mod."""
     return np.fromiter((zlib.crc32(b"%d" % i) % mod for i in ids.tolist()), np.int64, len(ids))

@@ -23,12 +23,14 @@ from pyspark.sql.window import Window
 
 from kinfold.llm import words
 from kinfold.llm.bpe import Pairs
-from kinfold.llm.common import cut, real_id, slices, texts_of, utf8
+from kinfold.llm.common import Memo, cut, real_id, slices, texts_of, utf8
 
-#: When a worker has kept so many words, those not met among the next so many are dropped; workers outlive the stage.
-MEMO = 150_000
+#: Bytes of words that a worker keeps with their ids, twice at the most.
+ROOM = 30_000_000
 #: First weights are sizes to this power: above 1 fills rooms by longer sizes first and keeps short ones for later gaps.
 POWER = 1.3
+#: More ranks than pieces of one length: a length and a rank are one number below 2**63.
+RANKS = 1 << 48
 _TOKENIZERS: dict = {}
 
 
@@ -59,8 +61,7 @@ class WordTokenizer:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern + "|\n")
         self.odd = regex.compile(r"[^\n]*[^\na-zA-Z0-9À-ÖØ-öø-įı-ž!-;=?-~«»¿¡][^\n]*")
-        self.memo: dict[int, bytes] = {}
-        self.older: dict[int, bytes] = {}
+        self.memo = Memo(ROOM)
 
     def encode(self, parts: list[str]) -> list[bytes]:
         """The ids of each part (which holds no line end), as 32-bit little-endian numbers."""
@@ -97,16 +98,10 @@ class WordTokenizer:
         if not len(starts):
             yield from (b"" for _ in counts)
             return
-        names, first, back = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.memo) > MEMO:
-            self.memo, self.older = {}, self.memo
-        memo, older, names = self.memo, self.older, names.tolist()
-        memo.update((name, older[name]) for name in names if name in older and name not in memo)
-        new = [k for k, name in enumerate(names) if name not in memo]
-        raw, places = data.tobytes(), first[new]
-        parts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[places].tolist(), ends[places].tolist(), strict=True)]
-        memo.update(zip([names[k] for k in new], self.encode(parts), strict=True))
-        own = list(map(memo.__getitem__, names))
+        _, first, back = np.unique(words.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        distinct = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        own = [v[0] for v in self.memo.find(distinct, lambda new: [(ids,) for ids in self.encode([w.decode("utf-8", "replace") for w in new])])]
         ids = list(map(own.__getitem__, back.tolist()))
         begin = 0
         for end in np.cumsum(counts).tolist():
@@ -219,11 +214,32 @@ def deal(sizes: np.ndarray, need: np.ndarray, capacity: int, tolerance: float, s
     return used, remain
 
 
-def solve(histogram: dict[int, int], capacity: int, tolerance: float = 0.01, step: float = 0.5) -> list[tuple[list[int], int]]:
+def least_sequences(histogram: dict[int, int], capacity: int) -> int:
+    """A bound that no packing is under: sequences for all tokens, and one for each length above half a sequence.
+
+    These are the program's dual values for prices in proportion to the sizes and for a price of one on long pieces.
+    """
+    return max(-(-sum(s * n for s, n in histogram.items()) // capacity), sum(n for s, n in histogram.items() if 2 * s > capacity))
+
+
+def solve(histogram: dict[int, int], capacity: int, tolerances: tuple[float, ...] = (0.01, 0.3)) -> list[tuple[list[int], int]]:
     """Configurations (lengths, how often) that hold each length exactly as often as the histogram says.
 
-    The program places all tokens but a share of `tolerance`, whatever the number of lengths; best fit places these.
+    The program places all tokens but a share of a tolerance, whatever the number of lengths, and best fit the rest. Of the
+    tolerances, and of best fit for all, the one of fewest sequences is taken: at least `least_sequences`, at most best fit's.
     """
+    enough, best = least_sequences(histogram, capacity), None
+    for tolerance in (*tolerances, 1.0):
+        found = placed(histogram, capacity, tolerance)
+        if best is None or sum(n for _, n in found) < sum(n for _, n in best):
+            best = found
+        if sum(n for _, n in best) <= enough:
+            break
+    return best
+
+
+def placed(histogram: dict[int, int], capacity: int, tolerance: float, step: float = 0.5) -> list[tuple[list[int], int]]:
+    """Configurations of the program for all tokens but a share of `tolerance`, filled up by best fit."""
     out: list[tuple[list[int], int]] = []
     left = {size: n for size, n in histogram.items() if n > 0}
     if capacity in left:
@@ -290,8 +306,14 @@ def places(configs: list[tuple[list[int], int]]) -> list[tuple[int, int, int, in
 def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
 
-    Null and empty texts are the end id alone. Repeated rows are packed each. Rows of one length are ranked
-    in parts by a hash, so that a length that many pieces have doesn't meet in one task.
+    Null and empty texts are the end id alone. Repeated rows are packed each; a null doc_id stays null. Pieces of one
+    length are ranked in parts by a hash, so that a length that many have doesn't meet in one task; ties among them (equal
+    ids, pieces and tokens) are interchangeable. Texts of any length are read whole and cut into pieces only. An empty
+    table gives an empty result; columns other than doc_id and text are ignored, whatever their names.
+
+    The broadcast slots are those of the solution: five numbers for each place of each configuration. Configurations use up
+    a length each, within rounds that each deal a fixed share of what is left, so their number is bounded by the lengths
+    (at most `capacity`) and not by the texts.
     """
     spark = docs.sparkSession
     rows = cut(pieces(texts_of(docs), path, end_id, capacity))
@@ -299,15 +321,22 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> D
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
     counts = rows.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    slots = places(solve(histogram, capacity))
-    slot = spark.createDataFrame(slots or [(0, 0, 0, 0, 0)], "length long, lo long, hi long, first long, offset long")
+    slots = np.array(sorted(places(solve(histogram, capacity))) or [(0, 0, 0, 0, 0)], np.int64)  # by length and rank
+    sent = spark.sparkContext.broadcast((slots[:, 0] * RANKS + slots[:, 1], slots[:, 1], slots[:, 3], slots[:, 4]))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    # the slots of one length as arrays, one row a length: a piece finds its own by its rank
-    lists = slot.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "first", "offset"))).alias("slots"))
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")))
     ranked = ranked.join(F.broadcast(bases) if len(histogram) * parts <= 200_000 else bases, ["length", "part"])
-    ranked = ranked.withColumn("rank", F.col("r") - 1 + F.col("base")).join(F.broadcast(lists), "length")
-    mine = F.expr("filter(slots, s -> rank >= s.lo AND rank < s.hi)[0]")
-    out = ranked.withColumn("s", mine)
-    return out.select(real_id(), "piece", "start", "length", "ids_crc32", (F.col("s.first") + F.col("rank") - F.col("s.lo")).alias("sequence_id"), F.col("s.offset").alias("offset"))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    ranked = ranked.select(*columns, (F.col("r") - 1 + F.col("base")).alias("rank"))
+
+    def place(batches):
+        keys, lo, first, offset = sent.value
+        for batch in batches:
+            rank = batch.column("rank").to_numpy()
+            slot = np.searchsorted(keys, batch.column("length").to_numpy() * RANKS + rank, "right") - 1
+            found = [pa.array(first[slot] + rank - lo[slot]), pa.array(offset[slot])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *found], names=[*columns, "sequence_id", "offset"])
+
+    out = ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return out.select(real_id(), *out.columns[1:])

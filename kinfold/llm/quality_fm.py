@@ -147,8 +147,10 @@ def quality(docs: DataFrame, labels: DataFrame, mod: int = 3, held: int = 1) ->
     """doc_id, held_out, score, predicted of every row of docs.
 
     Rows whose crc32(doc_id as text) modulo `mod` is `held` are never learnt from. Null texts score as
-    empty ones, by their statistics; repeated rows score alike; with labels of one class or none, every
-    text gets that class's shrunken share. A null doc_id hashes as -2**63.
+    empty ones, by their statistics; repeated rows score alike, and an id that is repeated is learnt from once; with
+    labels of one class or none, every text gets that class's shrunken share. A null doc_id hashes as -2**63. Texts of
+    any length are read whole. A score of exactly 0.5 predicts 1; rows are learnt in the order of a hash of the id, so
+    there are no ties. An empty table gives an empty result; other columns are ignored, whatever their names.
     """
     bucket = F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod
     out = score(texts_of(docs), train(docs, labels, bucket != held))

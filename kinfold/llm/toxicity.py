@@ -60,7 +60,7 @@ def sigmoid(x):
 class Ftrl:
     """Per-coordinate rates alpha / (beta + sqrt(sum of squared gradients)), L1 and L2 in the proximal step."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 6.0, l2: float = 0.5):
+    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 3.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(SIZE), np.zeros(SIZE)
 
@@ -85,11 +85,12 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, learn_from, limit:
     rows = labels.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(column).cast("int").alias("label"))
     rows = rows.filter(F.col("label").isin(0, 1) & (F.lit(True) if learn_from is None else learn_from)).groupBy("doc_id").agg(F.max("label").alias("label"))
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return texts_of(docs).join(F.broadcast(rows), "doc_id")
+    found = texts_of(docs).join(F.broadcast(rows), "doc_id")  # an id that is repeated counts once, by one of its texts
+    return found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "label")).alias("r")).select("doc_id", "r.text", "r.label")
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from=None, limit: int = TRAIN_ROWS, passes: int = 3) -> np.ndarray:
-    """SIZE weights, those of pairs times PAIR, the last one the offset. L1 is weaker on fewer than 6000 rows."""
+    """SIZE weights, those of pairs times PAIR, the last one the offset."""
 
     def encode(batches):
         for batch in batches:
@@ -101,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, learn_from=None, limit: int = TRAI
     order = np.argsort(words.mix(found.column("doc_id").to_numpy().view(np.uint64) + np.uint64(7)), kind="stable")
     label = found.column("label").to_numpy()
     at = found.column("at")
-    model = Ftrl(l1=min(6.0, max(1.0, len(label) / 1000)))
+    model = Ftrl()
     if len(set(label.tolist())) < 2:  # nothing to tell apart: the shrunken share of toxic rows
         out = np.zeros(SIZE, np.float32)
         out[-1] = np.log((label.sum() + 1) / (len(label) - label.sum() + 1))
@@ -140,8 +141,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0) ->
     """doc_id, held_out, score, predicted of every row of docs.
 
     Rows whose crc32(doc_id as text) modulo `mod` is `held` are never learnt from. Repeated rows are
-    scored alike; labels without a text, null labels and an empty labels table are harmless (with one
-    class only, every text gets its shrunken share). A null doc_id hashes as -2**63.
+    scored alike, and an id that is repeated is learnt from once; labels without a text, null labels and an empty
+    labels table are harmless (with one class only, every text gets its shrunken share). A null doc_id hashes as
+    -2**63. Null and empty texts get the offset's score; texts of any length are read whole. A score of exactly 0.5
+    predicts 1; rows are learnt in the order of a hash of the id, so there are no ties. An empty table gives an empty
+    result; other columns are ignored, whatever their names.
     """
     weights = train(docs, labels, F.crc32(F.col("doc_id").cast("string").cast("binary")) % mod != held)
     out = score(texts_of(docs), weights)

@@ -18,8 +18,8 @@ from pyspark.sql.window import Window
 from kinfold.llm.common import cut, real_id, small, texts_of
 
 K, WINDOW, CUT = 3, 6, 24
-#: Consecutive document ids that are put in order in one group.
-RUN = 512
+#: Consecutive document ids that are put in order in one group; quantiles of the ids; bits of a run's number in its segment.
+RUN, SEGMENTS, RUN_BITS = 512, 64, 40
 _LAST = (1 << 30) - 1
 
 
@@ -73,16 +73,41 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
+def run_of(docs: DataFrame) -> Column:
+    """The number of the run of about RUN ids that a doc_id belongs to; numbers ascend with ids, dense or not.
+
+    The ids' range is cut at SEGMENTS quantiles; a segment's runs are as wide as its own spacing asks for. The driver sees
+    the quantiles, and the number above RUN_BITS bits is the segment.
+    """
+    shares = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    row = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.percentile_approx("doc_id", shares, 10_000).alias("q")).first()
+    if not row["n"]:
+        return F.lit(0).cast("long")
+    edges = sorted({row["lo"], *row["q"]})
+    ends = [*edges[1:], row["hi"] + 1]
+
+    def leaf(i: int) -> Column:
+        width = max(1, (ends[i] - edges[i]) * RUN * len(edges) // row["n"])
+        first = edges[i] // width if edges[i] >= 0 else -(-edges[i] // width)  # div cuts towards zero
+        return F.lit(i << RUN_BITS) + F.expr(f"doc_id div {width}L" if width < 1 << 63 else "0L") - F.lit(first if width < 1 << 63 else 0)
+
+    def among(i: int, j: int) -> Column:
+        half = (i + j) // 2
+        return leaf(i) if j - i == 1 else F.when(F.col("doc_id") < edges[half], among(i, half)).otherwise(among(half, j))
+
+    return among(0, len(edges)).cast("long")
+
+
 def with_next(docs: DataFrame, derive, columns: list[str]) -> DataFrame:
     """derive(docs) with next_<column> of the next row by ascending doc_id (after the last: the first).
 
-    Rows are grouped by runs of ids; the first row of every group is copied to the group before it, so that no
-    task sees more than a run. Only group numbers, one for RUN ids, are put in order across groups, first
-    within runs of groups and then between those.
+    Rows are grouped by runs of ids; the first row of every run is copied to the run before it, so that no task sees more
+    than a run. Only run numbers, one for about RUN ids, are put in order, first within their segment of the ids and
+    then (one row for each of at most SEGMENTS) between segments.
     """
-    run = F.floor(F.col("doc_id") / RUN).cast("long")
+    run = run_of(docs)
     firsts = docs.groupBy(run.alias("run")).agg(F.min("doc_id").alias("doc_id"))
-    far = firsts.withColumn("far", F.floor(F.col("run") / 4096).cast("long"))
+    far = firsts.withColumn("far", F.shiftright("run", RUN_BITS))
     edge = far.groupBy("far").agg(F.min("run").alias("first_run"))
     whole = Window.orderBy("far").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edge = edge.select("far", F.lead("first_run").over(Window.orderBy("far")).alias("after"), F.first("first_run").over(whole).alias("zero"))
@@ -101,7 +126,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
 
     Null texts are empty, an empty text has the fingerprint '' and is like another empty one only. Rows that
-    repeat a doc_id stand next to each other by text; a null doc_id comes first. Other columns are ignored.
+    repeat a doc_id stand next to each other by text; a null doc_id comes first. Of equal hashes in a window the
+    rightmost is kept. Texts of any length are read whole. An empty table gives an empty result; other columns are
+    ignored, whatever their names.
     """
     # fingerprints need no neighbours: they are made before the one shuffle of the texts
     rows = with_next(texts_of(docs), lambda d: d.withColumn("chosen", selected(F.col("text"))), ["text", "chosen"])

@@ -374,7 +374,7 @@ def test_program_places_nearly_all_of_thousands_of_lengths(monkeypatch):
     alone, rests = sum(n for _, n in packing.best_fit(dict(histogram), {}, 4096)), []
     fit = packing.best_fit
     monkeypatch.setattr(packing, "best_fit", lambda rest, bins, capacity: rests.append(dict(rest)) or fit(rest, bins, capacity))
-    configs = packing.solve(histogram, 4096)
+    configs = packing.placed(histogram, 4096, 0.01)
     assert sum(s * n for rest in rests for s, n in rest.items()) <= 0.01 * sizes.sum()
     held = {}
     for lengths, times in configs:
@@ -385,9 +385,67 @@ def test_program_places_nearly_all_of_thousands_of_lengths(monkeypatch):
     assert sum(n for _, n in configs) <= 1.01 * alone
 
 
-def winnowed(text):
-    units = re.findall(r"[^ \t\n\x0B\f\r]{1,%d}" % winnowing.CUT, text.lower())
-    return units
+@pytest.mark.parametrize(("mean", "spread", "n", "capacity"), [(6.2, 0.9, 3000, 4096), (3.0, 0.6, 4000, 100), (6.9, 0.4, 2000, 4096), (7.4, 0.3, 1500, 4096)])
+def test_never_more_sequences_than_best_fit(mean, spread, n, capacity):
+    sizes = np.minimum(np.random.default_rng(7).lognormal(mean, spread, n).astype(int) + 1, capacity)
+    histogram = {int(s): int(c) for s, c in zip(*np.unique(sizes, return_counts=True), strict=True)}
+    for counts in (histogram, {s: 50 * c for s, c in histogram.items()}):
+        used = sum(t for _, t in packing.solve(counts, capacity))
+        assert packing.least_sequences(counts, capacity) <= used <= sum(t for _, t in packing.best_fit(dict(counts), {}, capacity))
+    assert used <= 1.04 * packing.least_sequences(counts, capacity)
+
+
+def chosen_by_hand(spark, texts):
+    """text -> [(position, hash)] that winnowing keeps, in Python from Spark's hashes of units."""
+    def units(t):
+        return re.findall(r"[^ \t\n\x0B\f\r]{1,%d}" % winnowing.CUT, t.lower())
+
+    grams = {}
+    for t in texts:
+        u = units(t)
+        n = max(len(u) - winnowing.K + 1, min(len(u), 1))
+        grams[t] = [(u + [None] * winnowing.K)[i : i + winnowing.K] for i in range(n)]
+    distinct = sorted({tuple(g) for own in grams.values() for g in own}, key=str)
+    rows = spark.createDataFrame([(i, *g) for i, g in enumerate(distinct)], "i int, a string, b string, c string")
+    one = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c))
+    value = {r["i"]: r["h"] for r in rows.select("i", F.xxhash64(one("a"), one("b"), one("c")).alias("h")).collect()}
+    low = {g: value[i] & ((1 << 34) - 1) for i, g in enumerate(distinct)}
+    signed = lambda h: h - (1 << 34) if h >> 33 else h
+    out = {}
+    for t, own in grams.items():
+        h = [signed(low[tuple(g)]) for g in own]
+        kept = []
+        for s in range(max(len(h) - winnowing.WINDOW + 1, min(len(h), 1))):
+            window = h[s : s + winnowing.WINDOW]
+            p = s + max(k for k, x in enumerate(window) if x == min(window))
+            if (p, h[p]) not in kept:
+                kept.append((p, h[p]))
+        out[t] = kept
+    return out
+
+
+def test_likeness_over_many_runs_of_sparse_ids(spark, monkeypatch):
+    monkeypatch.setattr(winnowing, "RUN", 4)
+    monkeypatch.setattr(winnowing, "SEGMENTS", 5)
+    rng = random.Random(3)
+    vocab = ["ab", "cd", "ef", "gh", "ij", "kl"]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 30))) for _ in range(120)]
+    ids = sorted({rng.randrange(-(2**62), 2**62) for _ in range(60)} | {10 * i for i in range(60)})
+    rows = list(zip(ids, texts, strict=False))
+    got = {r["doc_id"]: r for r in winnowing.fingerprints(frame(spark, rows)).collect()}
+    edited = {}
+    for k, (i, t) in enumerate(rows):
+        follow = rows[(k + 1) % len(rows)][1]
+        tail = len(t) // 4
+        edited[i] = t[: len(t) - tail] + follow[:tail]
+    hand = chosen_by_hand(spark, {*texts, *edited.values()})
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for k, (i, t) in enumerate(rows):
+        own, after, changed = ({h for _, h in hand[x]} for x in (t, rows[(k + 1) % len(rows)][1], edited[i]))
+        assert got[i]["edited_sha256"] == hashlib.sha256(edited[i].encode()).hexdigest()
+        assert [int(x.split(":")[0]) for x in got[i]["fingerprint"].split(",") if x] == [p for p, _ in hand[t]]
+        assert got[i]["near_next"] == pytest.approx(like(own, after))
+        assert got[i]["near_edited"] == pytest.approx(like(own, changed))
 
 
 def test_fingerprints(spark, rows):
