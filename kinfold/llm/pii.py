@@ -31,8 +31,8 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){1
 #: Candidate patterns: kind, pattern, a simpler one that a text must hold.
 PROPOSED = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{2,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?[A-Za-z]{2,24}){1,4}", r"[ (\[{]at[ )\]}]"),
-    ("ip", r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){3,7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])", r"[0-9a-fA-F]:[0-9a-fA-F]{1,4}:"),
-    ("phone", r"(?<![0-9A-Za-z.+-])(?:00[0-9]{1,3}[ .-]?)?\(?0?[0-9]{2,4}\)?[ ./-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9A-Za-z-])", "[0-9]{3}"),
+    ("ip", r"(?<![0-9A-Za-z:])(?:(?:[0-9a-fA-F]{1,4}:){3,7}[0-9a-fA-F]{1,4}|[0-9a-fA-F]{2,4}(?::[0-9a-fA-F]{1,4}){0,6}::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?)(?![0-9A-Za-z:])", r"[0-9a-fA-F]:[0-9a-fA-F]{0,4}:"),
+    ("phone", r"(?<![0-9A-Za-z.+-])(?:(?:00[0-9]{1,3}[ .-]?)?\(?0?[0-9]{2,4}\)?[ ./-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|0[0-9](?:[ .-][0-9]{2}){4})(?![0-9A-Za-z-])", "[0-9]{2}"),
     ("card", r"(?<![0-9A-Za-z.-])[0-9]{4}[ .-]?[0-9]{4}[ .-]?[0-9]{4}[ .-]?[0-9]{1,4}(?![0-9A-Za-z])", "[0-9]{4}[ .-]?[0-9]{4}"),
     ("ssn", r"(?<![0-9A-Za-z-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9A-Za-z-])", "[0-9]{3}[- ][0-9]{2}[- ]"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}"),
@@ -50,7 +50,7 @@ LEFT = 32
 SIZES = (len(PROPOSED), 7, 4, len(CUES) + 1, 2, 2, 2)
 CELLS = math.prod(SIZES)
 ROUNDS, RATE, PRECISION = 40, 0.3, 0.995
-#: Sentences that are made to learn from, a third of them held out to calibrate.
+#: Sentences that are made to learn from, those of a third of the templates held out to calibrate.
 SENTENCES = 12_000
 
 
@@ -136,30 +136,32 @@ def proposals(text: Column) -> Column:
     return F.flatten(F.array(*parts))
 
 
-#: Templates: label, sentence; # is a digit, ~ a lower-case letter, ^ a capital, * a hexadecimal digit.
+#: Templates: the kind of data that the sentence holds or nothing, sentence; # is a digit, ~ a lower-case letter, ^ a capital, * a hexadecimal digit.
 TEMPLATES = (
-    (1, "please call 0##-####### today"), (1, "tel (###) ###-#### ext"), (1, "phone ###-###-####"), (1, "mobile 0### ### ####"),
-    (1, "fax: 00## ### ### ####"), (1, "reach me, (###) ###-####"), (1, "he gave ###-###-#### as his own"), (1, "whatsapp ### ### ####"),
-    (0, "order ########## was sent"), (0, "invoice ###-####### total"), (0, "version ###.###.####"), (0, "between #### and #### of them"),
-    (0, "isbn ### ####### here"), (0, "part ###-####-### fits"), (0, "they sold ########## units"), (0, "the sum ##### #### rose"), (0, "numbers ####### ####"),
-    (1, "mail ~~~~~.~~~ (at) ~~~~~~ (dot) com"), (1, "write to ~~~~~~ [at] ~~~~~.org"), (1, "contact ~~~~##{at}~~~~~~{dot}net"), (1, "e-mail ~~~~ at ~~~~~ dot com now"),
-    (0, "look at ~~~~~.~~~ now"), (0, "we met at ~~~~~~. They left"), (0, "stay at ~~~~~.~~ for it"), (0, "arrive at ~~~~~~ .~~~ on time"), (0, "she sat at ~~~~~. ~~~~ and"),
-    (1, "host ****:****:****:****:****:****:****:****"), (1, "server ****:***:****:****:****:**:****:****"), (1, "from ****:****:****:****:****:****:****:**** came"),
-    (0, "time ##:##:##:##"), (0, "at ##:##:##:## sharp"), (0, "the ratio #:#:#:# held"), (0, "**:**:**:**:**:** device"),
-    (1, "card ####-####-####-####"), (1, "visa #### #### #### ####"), (1, "credit card ################"), (1, "debit ####.####.####.####"),
-    (0, "serial ####-####-####-####"), (0, "ref ################"), (0, "the code ################ ran"), (0, "rows #### #### #### ####"), (0, "model ############# sold"),
-    (1, "ssn ###-##-####"), (1, "social security ### ## ####"), (1, "his is ###-##-####"), (0, "item ###-##-####"), (0, "date ### ## ####"), (0, "we saw ### ## #### of them"),
-    (1, "iban ^^##^^^^################"), (1, "account ^^## #### #### #### #### ##"), (1, "pay to ^^## #### #### #### ####"),
-    (0, "ref ^^##^^^^####"), (0, "model ^^##^^^^####^"), (0, "part ^^## ^^^^ ####"), (0, "the ^^##^^^^^^^^ line"),
+    ("phone", "please call 0##-####### today"), ("phone", "tel (###) ###-#### ext"), ("phone", "phone ###-###-####"), ("phone", "mobile 0### ### ####"),
+    ("phone", "phone 0# ## ## ## ##"), ("phone", "call 0#.##.##.##.## now"), ("", "on 0# ## ## ## ## it"), ("", "item 0#-##-##-##-## sold"),
+    ("phone", "fax: 00## ### ### ####"), ("phone", "reach me, (###) ###-####"), ("phone", "he gave ###-###-#### as his own"), ("phone", "whatsapp ### ### ####"),
+    ("", "order ########## was sent"), ("", "invoice ###-####### total"), ("", "version ###.###.####"), ("", "between #### and #### of them"),
+    ("", "isbn ### ####### here"), ("", "part ###-####-### fits"), ("", "they sold ########## units"), ("", "the sum ##### #### rose"), ("", "numbers ####### ####"),
+    ("email", "mail ~~~~~.~~~ (at) ~~~~~~ (dot) com"), ("email", "write to ~~~~~~ [at] ~~~~~.org"), ("email", "contact ~~~~##{at}~~~~~~{dot}net"), ("email", "e-mail ~~~~ at ~~~~~ dot com now"),
+    ("", "look at ~~~~~.~~~ now"), ("", "we met at ~~~~~~. They left"), ("", "stay at ~~~~~.~~ for it"), ("", "arrive at ~~~~~~ .~~~ on time"), ("", "she sat at ~~~~~. ~~~~ and"),
+    ("ip", "host ****:****:****:****:****:****:****:****"), ("ip", "server ****:***:****:****:****:**:****:****"), ("ip", "from ****:****:****:****:****:****:****:**** came"),
+    ("ip", "host ****:***::****:***:****"), ("ip", "address fe80::****"), ("ip", "server 2001:db8::****"), ("ip", "reach ****::* now"), ("ip", "2001:***::*** replied"),
+    ("", "time ##:##:##:##"), ("", "at ##:##:##:## sharp"), ("", "the ratio #:#:#:# held"), ("", "**:**:**:**:**:** device"),
+    ("card", "card ####-####-####-####"), ("card", "visa #### #### #### ####"), ("card", "credit card ################"), ("card", "debit ####.####.####.####"),
+    ("", "serial ####-####-####-####"), ("", "ref ################"), ("", "the code ################ ran"), ("", "rows #### #### #### ####"), ("", "model ############# sold"),
+    ("ssn", "ssn ###-##-####"), ("ssn", "social security ### ## ####"), ("ssn", "his is ###-##-####"), ("", "item ###-##-####"), ("", "date ### ## ####"), ("", "we saw ### ## #### of them"),
+    ("iban", "iban ^^##^^^^################"), ("iban", "account ^^## #### #### #### #### ##"), ("iban", "pay to ^^## #### #### #### ####"),
+    ("", "ref ^^##^^^^####"), ("", "model ^^##^^^^####^"), ("", "part ^^## ^^^^ ####"), ("", "the ^^##^^^^^^^^ line"),
 )
 
 
 def sentences(spark: SparkSession, n: int = SENTENCES) -> DataFrame:
-    """id, label, text: sentence `id` is made of its template and a hash of its number, in the same way everywhere."""
+    """id, kind (its number, -1 for none), text: sentence `id` is made of its template and a hash of its number, in the same way everywhere."""
     texts = F.array(*[F.lit(t) for _, t in TEMPLATES])
-    labels = F.array(*[F.lit(y) for y, _ in TEMPLATES])
+    kinds = F.array(*[F.lit(KINDS.index(k) if k else -1) for k, _ in TEMPLATES])
     row = (F.col("id") % len(TEMPLATES)).cast("int")
-    made = spark.range(0, n, 1, 4).select("id", F.get(labels, row).alias("label"), F.get(texts, row).alias("t"))
+    made = spark.range(0, n, 1, 4).select("id", F.get(kinds, row).alias("kind"), F.get(texts, row).alias("t"))
 
     def char(c: Column, i: Column) -> Column:
         r = F.pmod(F.xxhash64(F.col("id"), i), F.lit(1 << 20)).cast("int")
@@ -167,13 +169,14 @@ def sentences(spark: SparkSession, n: int = SENTENCES) -> DataFrame:
         cases = F.when(c == "#", pick("0123456789")).when(c == "~", pick("abcdefghijklmnopqrstuvwxyz"))
         return cases.when(c == "^", pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c == "*", pick("0123456789abcdef")).otherwise(c)
 
-    return made.select("id", "label", F.array_join(F.transform(F.split("t", ""), char), "").alias("text"))
+    return made.select("id", "kind", F.array_join(F.transform(F.split("t", ""), char), "").alias("text"))
 
 
 def cells(made: DataFrame, mod: int = 3) -> list[tuple[tuple[int, ...], int, int, int]]:
-    """(bins, label, held out, count): at most 4 * CELLS rows."""
-    rows = made.select("label", (F.col("id") / len(TEMPLATES) % mod).cast("int").alias("fold"), F.explode(proposals(F.col("text"))).alias("c"))
-    rows = rows.groupBy(F.col("c.bins").alias("bins"), "label", (F.col("fold") == 0).cast("int").alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    """(bins, label, held out, count): at most 4 * CELLS rows. Whole templates are held out, so that the formats
+    that thresholds are calibrated on are none that was learnt from."""
+    rows = made.select("kind", (F.col("id") % len(TEMPLATES) % mod).cast("int").alias("fold"), F.explode(proposals(F.col("text"))).alias("c"))
+    rows = rows.groupBy(F.col("c.bins").alias("bins"), (F.col("c.k") == F.col("kind")).cast("int").alias("label"), (F.col("fold") == 0).cast("int").alias("held")).agg(F.count(F.lit(1)).alias("n"))
     return sorted((tuple(r["bins"]), r["label"], r["held"], r["n"]) for r in rows.collect())
 
 
@@ -287,19 +290,26 @@ def added(text: Column, known: Column, model: tuple[list, list]) -> Column:
     return selected(good)
 
 
-def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds n_email, n_ip, n_card, n_phone, base and spans (arrays of k, start, end by k, then start) to docs.
+def detect(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
+    """Adds one column `into` to docs: a struct of n_email, n_ip, n_card, n_phone, base and spans (arrays of k, start,
+    end by k, then start).
 
-    Null texts have no spans. All other columns stay.
+    All other columns and rows stay as they are; a column `into` that docs has already is refused. Null and empty texts
+    have no spans; repeated rows get equal ones; texts of any length are read whole. Of overlapping candidates that are
+    accepted the best stays, of equal scores the longer, then the earlier one. An empty table gives an empty result.
     """
+    if into in docs.columns:
+        raise ValueError(f"there is a column {into} already")
     model = fitted(docs.sparkSession)
     own = F.coalesce(F.col(text), F.lit(""))
+    mark = "_" * (1 + max([0, *(len(c) for c in docs.columns)]))  # no column's name begins like this
     out = docs
     for kind in BASE:
-        out = out.withColumn(f"_{kind}", base(own, kind))
-    out = out.withColumn("base", F.concat(*[F.col(f"_{kind}") for kind in BASE]))
-    out = out.withColumn("spans", F.array_sort(F.concat("base", added(own, F.col("base"), model))))
-    return out.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE}).drop(*[f"_{kind}" for kind in BASE])
+        out = out.withColumn(mark + kind, base(own, kind))
+    out = out.withColumn(mark + "base", F.concat(*[F.col(mark + kind) for kind in BASE]))
+    out = out.withColumn(mark + "spans", F.array_sort(F.concat(mark + "base", added(own, F.col(mark + "base"), model))))
+    counts = [F.size(mark + kind).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return out.select(*docs.columns, F.struct(*counts, F.col(mark + "base").alias("base"), F.col(mark + "spans").alias("spans")).alias(into))
 
 
 def printed(spans: Column) -> Column:
@@ -332,4 +342,4 @@ def redacted(text: Column, spans: Column) -> Column:
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, counts, base_sha256 and spans as printed of every row; null texts are empty, repeated rows alike."""
     out = detect(texts_of(docs))
-    return out.select(real_id(), *[f"n_{k}" for k in BASE], F.sha2(printed(F.col("base")), 256).alias("base_sha256"), printed(F.col("spans")).alias("spans"))
+    return out.select(real_id(), *[f"pii.n_{k}" for k in BASE], F.sha2(printed(F.col("pii.base")), 256).alias("base_sha256"), printed(F.col("pii.spans")).alias("spans"))

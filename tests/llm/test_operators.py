@@ -514,6 +514,29 @@ def test_personal_data(spark):
     assert got[9011]["spans"] == ""
 
 
+def test_detect_keeps_columns(spark):
+    rows = spark.createDataFrame([("a@b.co", 1, "x", [2]), (None, 2, "y", None)], "text string, base int, _email string, spans array<int>")
+    out = pii.detect(rows)
+    assert out.columns == ["text", "base", "_email", "spans", "pii"]
+    got = out.orderBy("base").collect()
+    assert (got[0]["base"], got[0]["_email"], got[0]["spans"], got[0]["pii"]["n_email"]) == (1, "x", [2], 1)
+    assert got[1]["pii"]["spans"] == []
+    with pytest.raises(ValueError):
+        pii.detect(out)
+
+
+def test_common_forms_are_proposed_and_accepted(spark):
+    texts = ["host 2001:db8::8a2e:370:7334 up", "address fe80::1a2b", "phone 06 12 34 56 78", "std::string and a::b", "the ratio 3:4", "ssn 123-45-6789", "visa 4000 1234 5678 9010"]
+    got = {r["text"]: r["pii"]["spans"] for r in pii.detect(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    kinds = {t: [(pii.KINDS[s["k"]], t[s["start"] : s["end"]]) for s in own] for t, own in got.items()}
+    assert kinds[texts[0]] == [("ip", "2001:db8::8a2e:370:7334")]
+    assert kinds[texts[1]] == [("ip", "fe80::1a2b")]
+    assert kinds[texts[2]] == [("phone", "06 12 34 56 78")]
+    assert kinds[texts[3]] == kinds[texts[4]] == []
+    assert kinds[texts[5]] == [("ssn", "123-45-6789")]
+    assert [k for k, _ in kinds[texts[6]]] == ["card"]
+
+
 def test_trees_tell_held_out_sentences(spark):
     rows = pii.cells(pii.sentences(spark, 4000))
     trees = pii.boost(rows)
@@ -538,5 +561,5 @@ def test_chains_of_candidates_and_cues(spark):
 
 def test_redaction(spark):
     out = pii.detect(frame(spark, [(1, "call +1 (555) 123-4567 or a@b.co now"), (2, None), (3, "x")]))
-    got = {r["doc_id"]: r["x"] for r in out.select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("x")).collect()}
+    got = {r["doc_id"]: r["x"] for r in out.select("doc_id", pii.redacted(F.col("text"), F.col("pii.spans")).alias("x")).collect()}
     assert got == {1: "call [PHONE] or [EMAIL] now", 2: None, 3: "x"}
