@@ -37,7 +37,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by the name of its kind."""
     out = pii.detect(docs.select(*COLUMNS))
-    text = F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("spans")))
+    text = F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("pii.spans")))
     return out.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
