@@ -295,6 +295,102 @@ def test_classifiers(spark, operator, column):
     assert same[2000] == same[2001]
 
 
+def test_ftrl_is_the_plain_algorithm():
+    """Against one dictionary entry per coordinate, after the published update."""
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 40, rng.integers(0, 9))) + rng.choice([0, 1 << toxicity.BITS]), int(rng.integers(0, 2))) for _ in range(200)]
+    model = toxicity.Ftrl(alpha=0.2, beta=0.5, l1=0.1, l2=0.3)
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= 0.1:
+            return 0.0
+        return -(z[i] - math.copysign(0.1, z[i])) / ((0.5 + math.sqrt(n[i])) / 0.2 + 0.3)
+
+    for at, label in rows:
+        model.learn(at, label)
+        x = {int(i): 1.0 if i < 1 << toxicity.BITS else toxicity.PAIR for i in at} | {toxicity.SIZE - 1: 1.0}
+        w = {i: weight(i) for i in x}
+        p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+        for i, v in x.items():
+            g = (p - label) * v
+            z[i] = z.get(i, 0.0) + g - (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / 0.2 * w[i]
+            n[i] = n.get(i, 0.0) + g * g
+    got = model.weights(np.arange(toxicity.SIZE))
+    assert np.allclose(got[sorted(z)], [weight(i) for i in sorted(z)], atol=1e-12)
+    assert np.count_nonzero(got) == sum(weight(i) != 0 for i in z) < len(z)
+
+
+def test_machine_equals_the_sum_over_pairs():
+    rng = np.random.default_rng(4)
+    model = quality_fm.Machine()
+    for _ in range(30):
+        at = np.unique(rng.integers(0, quality_fm.SIZE, 12))
+        x = rng.normal(size=len(at))
+        plain = model.w0 + sum(model.w[i] * v for i, v in zip(at, x))
+        plain += sum(model.v[at[a]] @ model.v[at[b]] * x[a] * x[b] for a in range(len(at)) for b in range(a + 1, len(at)))
+        assert model.raw(at, x)[0] == pytest.approx(plain)
+        before = abs(1 / (1 + math.exp(-plain)) - 1)
+        model.learn(at, x, 1)
+        assert abs(1 / (1 + math.exp(-model.raw(at, x)[0])) - 1) < before + 1e-9
+
+
+def test_a_repeated_id_is_learnt_from_once(spark):
+    docs = frame(spark, [(1, f"text {i}") for i in range(50)] + [(2, "other")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert toxicity.labelled(docs, labels, "toxic", None, 8).count() == 2
+
+
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
+
+
+def every_operator(spark, docs):
+    """Name -> rows of each operator on documents, with labels for the classifiers."""
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(20)], "doc_id long, toxic int, quality int")
+    return {
+        "op2": suffix_dedup.digest(docs), "op3": toxicity.toxicity(docs, labels), "op4": quality_fm.quality(docs, labels), "op5": packing.pack(docs, WORDS),
+        "op6": winnowing.fingerprints(docs), "op7": automaton_dedup.digest(docs), "op8": agenda_pieces.encode_decode(docs, PIECES), "op9": pii.digest(docs),
+        "op10": minhash_join.near_duplicates(docs, 3, 85),
+    }
+
+
+def test_every_operator_on_an_empty_table(spark):
+    docs = spark.createDataFrame([], COLUMNS)
+    assert {k: v.count() for k, v in every_operator(spark, docs).items() if v.count()} == {}
+    assert vector_dedup.linked_vectors(spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
+
+
+def test_every_operator_on_odd_rows(spark):
+    """Null and repeated ids, null and empty texts, ties, a very long text, and columns named like the operators' own."""
+    long = " ".join(f"w{i % 977}" for i in range(30_000))
+    rows = [(None, "null id one"), (None, "null id two"), (None, None), (3, "same text"), (3, "same text"), (3, "another text"), (4, ""), (5, None), (6, long), (7, "a@b.co a@b.co")]
+    columns = "doc_id long, text string, side long, rep long, root long, n long, h long, sig string, g string, runs string, label string, score string, base string, spans string, run string, part string, rank string, length string"
+    docs = spark.createDataFrame([(i, t, *[0] * 5, *["x"] * 11) for i, t in rows], columns).repartition(3)
+    ids = sorted((i for i, _ in rows), key=str)
+    for name, out in every_operator(spark, docs).items():
+        got = out.collect()
+        seen = [r["doc_id"] for r in got if name != "op5" or r["piece"] == 0]
+        assert sorted(seen, key=str) == ids, name
+        twice = [tuple(v for k, v in r.asDict().items() if k not in ("sequence_id", "offset")) for r in got if r["doc_id"] == 3]
+        if name not in ("op6",):
+            assert len(set(map(str, twice))) <= 2, name
+    vectors = [(None, 1, [1.0, 0.0], 1), (None, 1, [1.0, 0.0], 2), (2, 1, [1.0, 0.0], 3), (2, 1, [0.0, 1.0], 4), (3, None, [1.0, 0.0], 5)]
+    got = vector_dedup.linked_vectors(spark.createDataFrame(vectors, "vec_id long, label int, embedding array<double>, copies int")).collect()
+    assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in got) == [("2", 0, "2"), ("2", 2, "None"), ("3", 0, "3"), ("None", 2, "None"), ("None", 2, "None")]
+
+
+def test_texts_whose_words_collide_in_polynomials(spark):
+    one, two = thue_morse()
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    docs = frame(spark, [(1, one), (2, two)])
+    got = {r["doc_id"]: r["ids_crc32"] for r in packing.pack(docs, WORDS).collect()}
+    assert got == {i: zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for i, t in ((1, one), (2, two))}
+    got = {r["doc_id"]: r["decoded_sha256"] for r in agenda_pieces.encode_decode(docs, PIECES).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in ((1, one), (2, two))}
+
+
 def test_classifier_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.toxicity(frame(spark, [(1, "a")]), labels).first()["score"] == pytest.approx(0.5)
