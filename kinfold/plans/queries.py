@@ -553,6 +553,16 @@ def entity_choice(spark, d):
     return rel.first_by(rows, ["n_regionkey"], F.col("n").desc(), F.col("n_name")).select("n_regionkey", "n_name")
 
 
+@query("SELECT p_partkey AS mention, min(p_partkey) OVER (PARTITION BY p_name) AS entity FROM part")
+def resolved_parts(spark, d):
+    from kinfold.plans import resolve
+
+    p = t(spark, d, "part").select(F.col("p_partkey").alias("mention"), "p_name", F.split(F.lower("p_name"), " ").alias("words"))
+    blocks = p.select(F.explode("words").alias("block"), "mention")
+    settings = resolve.Settings((scoring.Feature("p_name", "no_match", must_not=True), scoring.Feature("words", "shared")), least=1.5)
+    return resolve.resolve(p, blocks, settings)
+
+
 # --- evaluation -----------------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kinfold.operators import clustering, evaluation, relational, scoring
+from kinfold.plans import resolve
 from kinfold.sources import registry, sinks
 
 
@@ -188,3 +189,65 @@ def test_dense_pairs_in_parts(spark):
     unit = {i: (b, np.array(v) / np.linalg.norm(v)) for i, b, v in data[:40]}
     want = {(i, j) for i in unit for j in unit if i < j and unit[i][0] == unit[j][0] and unit[i][1] @ unit[j][1] >= 0.3}
     assert {(r["id_a"], r["id_b"]) for r in got} == want and len(got) == len(want)
+
+
+def people_rows(spark, n=36):
+    rng = np.random.default_rng(6)
+    rows = [(i, str(rng.choice(["ann", "bob"])) if i % 7 else None, [f"t{x}" for x in sorted(set(rng.integers(0, 6, 3).tolist()))], [float(x) for x in rng.normal(size=3)]) for i in range(n)]
+    blocks = sorted({(f"b{b}", i) for i in range(n - 2) for b in rng.integers(0, 5, 2).tolist()})
+    return rows, blocks, spark.createDataFrame(rows, "mention long, first string, terms array<string>, v array<double>"), spark.createDataFrame(blocks, "block string, mention long")
+
+
+SETTINGS = resolve.Settings((scoring.Feature("first", "no_match", must_not=True), scoring.Feature("terms", "shared", 0.5), scoring.Feature("v", "cosine", 2.0)), least=1.2)
+
+
+def test_resolution_end_to_end(spark):
+    rows, blocks, mentions, where = people_rows(spark)
+
+    def score(a, b):
+        shared = len(set(a[2]) & set(b[2]))
+        x, y = np.array(a[3]), np.array(b[3])
+        return (-20000.0 if a[1] and b[1] and a[1] != b[1] else 0.0) + 0.5 * shared + 2.0 * x @ y / np.linalg.norm(x) / np.linalg.norm(y)
+
+    root = {r[0]: r[0] for r in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b in {b for b, _ in blocks}:
+        own = [rows[i] for name, i in blocks if name == b]
+        d = [[1 / (1 + max(score(x, y), -20000.0) + 20000.0) for y in own] for x in own]
+        for group in brute_linkage(d, SETTINGS.cut):
+            group = sorted(group)
+            for i in group[1:]:
+                x, y = find(own[group[0]][0]), find(own[i][0])
+                root[max(x, y)] = min(x, y)
+    want = {i: find(i) for i in root}
+    got = {r["mention"]: r["entity"] for r in resolve.resolve(mentions, where, SETTINGS).collect()}
+    assert got == want and len(got) == 36 and 1 < len(set(got.values())) < 36
+    pairs = scoring.score(scoring.pairs(mentions.withColumn("block", F.lit(1)), "block", "mention", ["first", "terms", "v"]), list(SETTINGS.features))
+    for r in pairs.filter("mention_a < 4").collect():
+        assert r["score"] == pytest.approx(score(rows[r["mention_a"]], rows[r["mention_b"]]))
+
+
+def test_inserting_equals_resolving_anew(spark):
+    rows, blocks, mentions, where = people_rows(spark)
+    old = resolve.clusters(where.filter("mention < 25").join(mentions, "mention"), SETTINGS)
+    got = sorted(map(tuple, resolve.inserted(old, mentions, where, SETTINGS).collect()))
+    assert got == sorted(map(tuple, resolve.resolve(mentions, where, SETTINGS).collect()))
+
+
+def test_settings_and_structure(spark, tmp_path):
+    import datetime as dt
+
+    settings = resolve.Settings((), 0.0, output="out", start=dt.date(2020, 1, 1), end=dt.date(2020, 6, 30))
+    assert settings.path("canopies") == "out/20200630/canopies"
+    with pytest.raises(ValueError):
+        resolve.Settings((), 0.0, start=dt.date(2020, 1, 1))
+    rows = spark.createDataFrame([("a b", 1), ("c", 2)], "location string, n int")
+    assert sorted(map(tuple, resolve.structure(rows, {"location", "uuid"}, ("location",)).collect())) == [("missing uuid", 1), ("white space in location", 1)]
+    assert [r["problem"] for r in resolve.structure(rows.limit(0), {"location"}).collect()] == ["empty"]
+    sinks.table(rows.repartition(2), str(tmp_path / "two"))
+    assert resolve.enough_files(spark.read.parquet(str(tmp_path / "two")), 2) and not resolve.enough_files(spark.read.parquet(str(tmp_path / "two")), 3)
