@@ -110,9 +110,17 @@ def grams(values: np.ndarray, k: int) -> np.ndarray:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """docs with `side`, which tells rows of one doc_id and different texts apart."""
+    """docs with `side`, which tells rows of one doc_id and different texts apart; without it where no id repeats."""
     again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return docs.withColumn("side", F.lit(0).cast("long") if again.isEmpty() else F.xxhash64("text"))
+    return docs if again.isEmpty() else docs.withColumn("side", F.xxhash64("text"))
+
+
+def key_of(docs: DataFrame) -> list[str]:
+    return [c for c in ("doc_id", "side") if c in docs.columns]
+
+
+def _sides(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("side").to_numpy() if "side" in batch.schema.names else np.zeros(batch.num_rows, np.int64)
 
 
 def contexts(units: np.ndarray, at: np.ndarray, spec: Windows):
@@ -178,7 +186,7 @@ def _read(docs: DataFrame, spec: Windows) -> DataFrame:
     def make(batches):
         held, count = [], 0
         for batch in batches:
-            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
+            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), _sides(batch)
             for i, j in slices(utf8(column)[1], spec.chunk):
                 units, at = spec.units(column.slice(i, j - i))
                 g, c, row, lo, n = contexts(units, at, spec)
@@ -190,35 +198,36 @@ def _read(docs: DataFrame, spec: Windows) -> DataFrame:
         if count:
             yield _settled(held, spec.within)
 
-    return docs.mapInArrow(make, "g long, c long, doc_id long, side long, packed long")
+    rows = docs.mapInArrow(make, "g long, c long, doc_id long, side long, packed long")
+    return rows if "side" in docs.columns else rows.drop("side")
 
 
 def _spotted(docs: DataFrame, spec: Windows) -> DataFrame:
     """doc_id, side, packed, g, shard: known repeats (shard null) and contexts to be compared further."""
     rows = _read(docs, spec)
-    equal = Window.partitionBy("g", "c").orderBy("doc_id", "side", "lo")
-    rows = rows.withColumn("lo", F.shiftright("packed", 21))
+    key = key_of(rows)
+    equal = Window.partitionBy("g", "c").orderBy(*key, "packed")  # packed is in the order of starts
     if spec.within:
         rows = rows.withColumn("later", F.rank().over(equal) > 1)
     else:
-        first = F.first(F.struct("doc_id", "side")).over(equal)
-        rows = rows.withColumn("later", F.struct("doc_id", "side") > first)
+        rows = rows.withColumn("later", F.struct(*key) > F.first(F.struct(*key)).over(equal))
     rows = rows.withColumn("number", F.dense_rank().over(Window.partitionBy("g").orderBy("c")))
     rows = rows.withColumn("kinds", F.max("number").over(Window.partitionBy("g")))
     known = F.col("later") | (F.col("packed").bitwiseAND(F.lit(1)) == 1)
     shards = F.when(F.col("kinds") > SHARD, 1 + F.floor((F.col("number") - 1) / SHARD)).otherwise(F.lit(0))
     shard = F.when(~known, shards.cast("int"))
-    return rows.filter(known | (F.col("kinds") > 1)).select("doc_id", "side", "packed", F.when(~known, F.col("g")).alias("g"), shard.alias("shard"))
+    return rows.filter(known | (F.col("kinds") > 1)).select(*key, "packed", F.when(~known, F.col("g")).alias("g"), shard.alias("shard"))
 
 
 def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
     """g, shard, doc_id, side, lo, n, units: known repeats joined to runs (shard null), and contexts with their units."""
-    wanted = spotted.groupBy("doc_id", "side").agg(F.collect_set(F.struct("packed", "g", "shard")).alias("wanted"))
-    rows = docs.join(wanted, ["doc_id", "side"])
+    key = key_of(docs)
+    wanted = spotted.groupBy(*key).agg(F.collect_set(F.struct("packed", "g", "shard")).alias("wanted"))
+    rows = docs.join(wanted, key)
 
     def read(batches):
         for batch in batches:
-            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
+            column, ids, sides = batch.column("text"), batch.column("doc_id").to_numpy(), _sides(batch)
             lists = batch.column("wanted")
             ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
             flat = lists.flatten()
@@ -345,9 +354,9 @@ def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
 
 
 def repeats(docs: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
-    """doc_id, side, runs array<struct<lo, n>>: the starts of windows that also start earlier, for documents that have any.
+    """key_of(docs), runs array<struct<lo, n>>: the starts of windows that also start earlier, for documents that have any.
 
-    docs: doc_id, side, text. solve(contexts, documents' ranks, first starts, windows, contexts whose windows go on,
+    docs: as from keyed(). solve(contexts, documents' ranks, first starts, windows, contexts whose windows go on,
     spec) returns repeats (context numbers and starts in the document), kept windows (likewise) and their names as
     equal-length bytes.
     """
@@ -358,4 +367,4 @@ def repeats(docs: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
     merged = _merged(solved.filter("window IS NOT NULL").select("g", "shard", "doc_id", "side", "lo", "window"), spec)
     run = ["doc_id", "side", "lo", "n"]
     found = fetched.filter("shard < 0").select(run).unionByName(solved.filter("window IS NULL").select(run)).unionByName(merged)
-    return found.groupBy("doc_id", "side").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+    return found.groupBy(*key_of(docs)).agg(F.collect_list(F.struct("lo", "n")).alias("runs"))

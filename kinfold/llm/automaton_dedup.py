@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.anchors import Windows, joined, keyed, repeats, word_units, word_values
+from kinfold.llm.anchors import Windows, joined, key_of, keyed, repeats, word_units, word_values
 from kinfold.llm.common import real_id, texts_of, utf8
 
 
@@ -170,7 +170,7 @@ def cut_out(docs: DataFrame, length: int = 50) -> DataFrame:
             lo, n = flat.field("lo").to_numpy(), flat.field("n").to_numpy()
             yield _without(batch, *joined(np.repeat(np.arange(batch.num_rows), count), lo, lo + n - 1 + length))
 
-    return rows.join(found, ["doc_id", "side"], "left").mapInArrow(apply, KEPT)
+    return rows.join(found, key_of(rows), "left").mapInArrow(apply, KEPT)
 
 
 def against(docs: DataFrame, reference: DataFrame, length: int = 50, limit: int = 2_000_000) -> DataFrame:

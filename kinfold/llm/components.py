@@ -20,7 +20,7 @@ def _stamp(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def _with_least(rows: DataFrame, among: DataFrame, least: Column, count: int) -> DataFrame:
+def with_least(rows: DataFrame, among: DataFrame, least: Column, count: int) -> DataFrame:
     """rows (with a column a) with m, the aggregate `least` of `among` by a.
 
     There are at most among's rows / HUB hubs, which `count` bounds; where even these are too many to broadcast,
@@ -37,13 +37,13 @@ def _with_least(rows: DataFrame, among: DataFrame, least: Column, count: int) ->
 
 def _large(edges: DataFrame, count: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    joined = _with_least(both.filter("b > a"), both, F.least(F.first("a"), F.min("b")), 2 * count)
+    joined = with_least(both.filter("b > a"), both, F.least(F.first("a"), F.min("b")), 2 * count)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small(edges: DataFrame, count: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
-    to = _with_least(down, down, F.min("b"), count).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    to = with_least(down, down, F.min("b"), count).filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return to.unionByName(down.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm import words
 from kinfold.llm.common import NO_ID, cut, partitions, real_id, slices, small, texts_of, utf8
-from kinfold.llm.components import components
+from kinfold.llm.components import components, with_least
 
 #: A posting of more documents is one candidate cluster.
 LONG = 2000
@@ -399,8 +399,8 @@ def first_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, coordinat
     """
     found = Linked(docs, shingle, percent, coordinates)
     top = found.member.join(components(found.links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("top", F.coalesce("root", "rep"))
-    least = top.groupBy("top").agg(F.min(F.struct("doc_id", "h")).alias("first"))
-    rows = top.join(least, "top").select("doc_id", "h", (F.struct("doc_id", "h") != F.col("first")).alias("gone"))
+    top = cut(top.select("doc_id", "h", F.col("top").alias("a")))
+    rows = with_least(top, top, F.min(F.struct("doc_id", "h")), top.count()).select("doc_id", "h", (F.struct("doc_id", "h") != F.col("m")).alias("gone"))
     rows = cut(rows.groupBy("doc_id", "h").agg(F.max("gone").alias("gone"), (F.count(F.lit(1)) > 1).alias("again")).filter("gone OR again"))
     rows = rows.select(F.col("doc_id").alias("_kinfold_id"), F.col("h").alias("_kinfold_h"), F.col("gone").alias("_kinfold_gone"))
     key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("_kinfold_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_kinfold_h"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, keyed, repeats
+from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, key_of, keyed, repeats
 from kinfold.llm.common import real_id, texts_of, utf8
 
 GRAM = 24
@@ -135,7 +135,7 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
     """
     carried = [f"_{i}" for i in range(len(keep))]  # names that can't clash
     rows = keyed(texts_of(docs, *[F.col(c).alias(n) for c, n in zip(keep, carried, strict=True)]))
-    found = repeats(rows.select("doc_id", "side", "text"), byte_windows(length), solve)
+    found = repeats(rows.select(*key_of(rows), "text"), byte_windows(length), solve)
 
     def apply(batches):
         for batch in batches:
@@ -172,7 +172,7 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
             )
 
     schema = "doc_id long, " + "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in carried)
-    out = rows.join(found, ["doc_id", "side"], "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+    out = rows.join(found, key_of(rows), "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
     return out.withColumnsRenamed(dict(zip(carried, keep, strict=True)))
 
 
