@@ -27,7 +27,7 @@ from kinfold.llm.common import NO_ID, cut, partitions, real_id, slices, small, t
 from kinfold.llm.components import components, with_least
 
 #: A posting of more documents is one candidate cluster.
-LONG = 2000
+LONG = 1000
 #: Sets of a block of a cluster, and the pivots that each block of a larger cluster has besides.
 BLOCK, PIVOTS = 256, 4
 
