@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -97,14 +98,35 @@ def round_robin(sizes: DataFrame, block: str, size: str, chunks: int) -> DataFra
 
 
 def batches(sizes: DataFrame, group: str, order: str, size: str, least: int) -> DataFrame:
-    """Adds batch: within a group, a new batch begins once the running size of the last reached `least`."""
-    ordered = sizes.groupBy(group).agg(F.sort_array(F.collect_list(F.struct(order, size))).alias("_l"))
-    start = F.struct(F.lit(0).alias("batch"), F.lit(0).cast("long").alias("sum"), F.array().cast("array<int>").alias("out"))
+    """Adds batch: within a group, a new batch begins once the running size of the last reached `least`.
 
-    def step(acc: Column, x: Column) -> Column:
-        total = acc["sum"] + x[size]
-        full = total >= least
-        return F.struct(F.when(full, acc["batch"] + 1).otherwise(acc["batch"]).alias("batch"), F.when(full, F.lit(0).cast("long")).otherwise(total).alias("sum"), F.array_append(acc["out"], acc["batch"]).alias("out"))
-
-    numbers = F.aggregate("_l", start, step, lambda acc: acc["out"])
-    return ordered.select(group, F.explode(F.arrays_zip(F.col("_l"), numbers.alias("batch"))).alias("z")).select(group, F.col(f"z._l.{order}").alias(order), F.col(f"z._l.{size}").alias(size), F.col("z.batch").alias("batch"))
+    Every number depends on all before it, so a group is one task's work; it passes through as a sorted stream of
+    Arrow batches and is never held. A null size counts as 0.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in sizes.schema.fields}
+    columns = [group, order, size]
+
+    def run(batches):
+        last, total, number = None, 0, 0
+        for held in batches:
+            numbers = []
+            for g, n in zip(held.column(group).to_pylist(), held.column(size).to_pylist(), strict=True):
+                if g != last:
+                    last, total, number = g, 0, 0
+                numbers.append(number)
+                total += n or 0
+                if total >= least:
+                    total, number = 0, number + 1
+            yield pa.RecordBatch.from_arrays([*held.columns, pa.array(numbers, pa.int32())], names=[*columns, "batch"])
+
+    rows = sizes.select(*columns).repartition(group).sortWithinPartitions(group, order, size)
+    return rows.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", batch int")
+
+
+def contained(rows: DataFrame, database: DataFrame, columns: tuple[str, ...] = ("city", "state", "country"), name: str = "known") -> DataFrame:
+    """Adds `name`: whether the database has a row that equals this one in all the columns; nulls equal each other."""
+    held = database.select(*[F.col(c).alias(f"_db_{c}") for c in columns]).distinct().withColumn("_db", F.lit(True))
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_db_{c}"))
+    return rows.join(held, same, "left").withColumn(name, F.col("_db").isNotNull()).drop("_db", *[f"_db_{c}" for c in columns])

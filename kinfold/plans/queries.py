@@ -410,6 +410,23 @@ def char_wb_ngrams(spark, d):
     return t(spark, d, "part").select(F.explode(org.word_grams(F.lower("p_name"))).alias("gram")).groupBy("gram").agg(count())
 
 
+@query("""WITH g AS (SELECT p_name AS k, unnest(flatten(list_transform(string_split(lower(p_name),' '), lambda w: flatten(list_transform(range(2, least(10, length(w)+2)+1), lambda n: list_transform(range(1, length(w)+2-n+2), lambda i: substr(' ' || w || ' ', i, n))))))) AS term FROM (SELECT DISTINCT p_name FROM part)),
+ c AS (SELECT k, term, count(*) AS tf FROM g GROUP BY k, term), n AS (SELECT count(DISTINCT k) AS n FROM c), f AS (SELECT term, ln((1+(SELECT n FROM n))/(1.0+count(*)))+1 AS idf FROM c GROUP BY term),
+ w AS (SELECT k, term, tf*idf AS w FROM c JOIN f USING (term)) SELECT k, term, round(w / sqrt(sum(w*w) OVER (PARTITION BY k)), 6) AS w FROM w""")
+def name_gram_weights(spark, d):
+    rows = t(spark, d, "part").select(F.col("p_name").alias("k")).distinct().withColumn("grams", org.word_grams(F.lower("k")))
+    return scoring.term_weights(rows, "k", "grams").withColumn("w", F.round("w", 6))
+
+
+@query("""WITH c AS (SELECT c_custkey, c_acctbal, n_name AS city, c_mktsegment AS state, r_name AS country FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)
+SELECT c_custkey, EXISTS (SELECT 1 FROM c x WHERE x.c_acctbal > 8000 AND x.city IS NOT DISTINCT FROM c.city AND x.state IS NOT DISTINCT FROM c.state AND x.country IS NOT DISTINCT FROM c.country) AS known FROM c""")
+def place_database(spark, d):
+    c, n, r = (t(spark, d, x) for x in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    rows = rows.select("c_custkey", "c_acctbal", F.col("n_name").alias("city"), F.col("c_mktsegment").alias("state"), F.col("r_name").alias("country"))
+    return rel.contained(rows, rows.filter("c_acctbal > 8000")).select("c_custkey", "known")
+
+
 @query("SELECT p_partkey, array_to_string(list_filter(string_split(lower(p_name),' '), lambda w: w <> 'red' AND w <> 'large'), ' ') AS kept FROM part")
 def stopword_drop(spark, d):
     return t(spark, d, "part").select("p_partkey", org.without_words(F.lower("p_name"), ("red", "large")).alias("kept"))
@@ -512,17 +529,25 @@ def location_rule_pairs(spark, d):
     return p.select(F.col("n_nationkey_a").alias("a"), F.col("n_nationkey_b").alias("b"), rule.alias("sim"))
 
 
-@query("SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS root FROM documents")
+@query("""SELECT o_orderkey, min(o_orderkey) OVER (PARTITION BY o_custkey, island) AS root FROM
+ (SELECT o_orderkey, o_custkey, sum(gap) OVER (PARTITION BY o_custkey ORDER BY day, o_orderkey) AS island FROM
+  (SELECT *, CASE WHEN day - lag(day) OVER (PARTITION BY o_custkey ORDER BY day, o_orderkey) <= 90 THEN 0 ELSE 1 END AS gap FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders)))""")
 def threshold_components(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    first = docs.groupBy("h").agg(F.min("doc_id").alias("b"))
-    edges = docs.join(first, "h").filter("doc_id != b").select(F.col("doc_id").alias("a"), "b")
-    return docs.select("doc_id").join(clustering.components(edges).withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("root"))
+    # orders of a customer that follow each other within the threshold are linked: chains of several hops
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    before = Window.partitionBy("o_custkey").orderBy("day", "o_orderkey")
+    edges = o.select(F.col("o_orderkey").alias("a"), F.lag("o_orderkey").over(before).alias("b"), F.datediff("day", F.lag("day").over(before)).alias("gap")).filter("gap <= 90").select("a", "b")
+    roots = clustering.components(edges).withColumnRenamed("node", "o_orderkey")
+    return o.select("o_orderkey").join(roots, "o_orderkey", "left").select("o_orderkey", F.coalesce("root", "o_orderkey").alias("root"))
 
 
 @query("SELECT min(doc_id) OVER (PARTITION BY text) AS entity, doc_id AS mention FROM documents")
 def entity_ids(spark, d):
-    return threshold_components(spark, d).select(F.col("root").alias("entity"), F.col("doc_id").alias("mention"))
+    docs = t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    first = docs.groupBy("h").agg(F.min("doc_id").alias("b"))
+    edges = docs.join(first, "h").filter("doc_id != b").select(F.col("doc_id").alias("a"), "b")
+    roots = clustering.components(edges).withColumnRenamed("node", "doc_id")
+    return docs.join(roots, "doc_id", "left").select(F.coalesce("root", "doc_id").alias("entity"), F.col("doc_id").alias("mention"))
 
 
 def _by_prices(left, right) -> np.ndarray:
