@@ -34,9 +34,9 @@ from kinfold.llm.minhash_join import _groups
 #: Contexts of one gram that one shard holds.
 SHARD = 1024
 #: Contexts that a partition settles among themselves at a time.
-HELD = 1_000_000
+HELD = 500_000
 #: Units of contexts that a solver gets at a time (whole shards).
-SOLVED = 1 << 20
+SOLVED = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,7 @@ class Windows:
     values: Callable
     #: earlier windows of the same document count as well
     within: bool
-    chunk: int = 1 << 20
+    chunk: int = 1 << 19
 
     @property
     def reach(self) -> int:

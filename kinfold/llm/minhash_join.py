@@ -45,7 +45,7 @@ def match_threshold(coordinates: int, percent: int) -> int:
 def _sets(column: pa.Array, k: int):
     """Ranges of rows with their shingle sets: (first row, last row, flat, offsets)."""
     data, at = utf8(column)
-    for i, j in slices(at, 1 << 20):
+    for i, j in slices(at, 1 << 19):
         part, own = words.lowered(data[at[i] : at[j]]), at[i : j + 1] - at[i]
         starts, ends, counts = words.spans(part, own)
         yield i, j, *words.shingles(words.hashes(part, starts, ends), counts, k)
