@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinfold.llm import words
-from kinfold.llm.common import cut, free, partitions, slices, utf8
+from kinfold.llm.common import cut, free, partitions, released, slices, utf8
 from kinfold.llm.minhash_join import _groups
 
 #: Contexts of one gram that one shard holds.
@@ -198,7 +198,7 @@ def _read(docs: DataFrame, spec: Windows) -> DataFrame:
         if count:
             yield _settled(held, spec.within)
 
-    rows = docs.mapInArrow(make, "g long, c long, doc_id long, side long, packed long")
+    rows = docs.mapInArrow(released(make), "g long, c long, doc_id long, side long, packed long")
     return rows if "side" in docs.columns else rows.drop("side")
 
 
@@ -260,7 +260,7 @@ def _fetched(docs: DataFrame, spotted: DataFrame, spec: Windows) -> DataFrame:
                     names=["g", "shard", "doc_id", "side", "lo", "n", "units"],
                 )
 
-    return rows.mapInArrow(read, "g long, shard int, doc_id long, side long, lo long, n long, units binary")
+    return rows.mapInArrow(released(read), "g long, shard int, doc_id long, side long, lo long, n long, units binary")
 
 
 def joined(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -312,7 +312,7 @@ def _merged(rows: DataFrame, spec: Windows) -> DataFrame:
 
     rows = rows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(64)).cast("int"))
     rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys, "shard", "window", "doc_id", "side", "lo")
-    return rows.mapInArrow(merge, "doc_id long, side long, lo long, n long")
+    return rows.mapInArrow(released(merge), "doc_id long, side long, lo long, n long")
 
 
 def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
@@ -350,7 +350,7 @@ def _solved(rows: DataFrame, spec: Windows, solve: Callable) -> DataFrame:
                 a = b
 
     rows = rows.repartition(partitions(rows), *keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(run, "doc_id long, side long, lo long, n long, g long, shard int, window binary")
+    return rows.mapInArrow(released(run), "doc_id long, side long, lo long, n long, g long, shard int, window binary")
 
 
 def repeats(docs: DataFrame, spec: Windows, solve: Callable) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.common import NO_ID, cut, partitions, real_id, slices, small, texts_of, utf8
+from kinfold.llm.common import NO_ID, cut, partitions, real_id, released, slices, small, texts_of, utf8
 from kinfold.llm.components import components, with_least
 
 #: A posting of more documents is one candidate cluster.
@@ -82,7 +82,7 @@ def signatures(docs: DataFrame, k: int, coordinates: int) -> DataFrame:
                     names=["doc_id", "h", "n_shingles", "one", "two", "sig"],
                 )
 
-    return docs.mapInArrow(sign, "doc_id long, h long, n_shingles long, one long, two long, sig array<int>")
+    return docs.mapInArrow(released(sign), "doc_id long, h long, n_shingles long, one long, two long, sig array<int>")
 
 
 def _groups(batches, keys: list[str]):
@@ -171,7 +171,7 @@ def _candidates(rows: DataFrame, keys: list[str], enough: int) -> DataFrame:
                 b += more[1]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return _sorted(rows, keys).mapInArrow(search, "a long, b long").distinct()
+    return _sorted(rows, keys).mapInArrow(released(search), "a long, b long").distinct()
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -229,7 +229,7 @@ def _confirmed(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
                 b += more[1]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return _sorted(rows, keys).mapInArrow(decide, "a long, b long").filter("a != b").distinct()
+    return _sorted(rows, keys).mapInArrow(released(decide), "a long, b long").filter("a != b").distinct()
 
 
 def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -245,7 +245,7 @@ def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
                 columns.append(pa.ListArray.from_arrays(pa.array(ends[np.append(start, len(group))].astype(np.int32)), lists.flatten()))
             yield pa.RecordBatch.from_arrays(columns, names=[*keys, "ids", "sizes", "flat"])
 
-    return _sorted(rows, keys).mapInArrow(pack, ", ".join(f"{k} long" for k in keys) + ", " + PACKED)
+    return _sorted(rows, keys).mapInArrow(released(pack), ", ".join(f"{k} long" for k in keys) + ", " + PACKED)
 
 
 def _of_texts(rows: DataFrame, k: int) -> DataFrame:
@@ -260,7 +260,7 @@ def _of_texts(rows: DataFrame, k: int) -> DataFrame:
                 lists.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int64))))
                 yield pa.RecordBatch.from_arrays([*own, *lists], names=["root", "n", "rep", "ids", "sizes", "flat"])
 
-    return rows.mapInArrow(read, "root long, n long, rep long, " + PACKED)
+    return rows.mapInArrow(released(read), "root long, n long, rep long, " + PACKED)
 
 
 def _clusters(reps: DataFrame, coordinates: int, enough: int) -> DataFrame:

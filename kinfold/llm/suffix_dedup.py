@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm.anchors import Windows, byte_units, byte_values, joined, key_of, keyed, repeats
-from kinfold.llm.common import real_id, texts_of, utf8
+from kinfold.llm.common import real_id, released, texts_of, utf8
 
 GRAM = 24
 
@@ -152,12 +152,12 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
                 for _ in range(3):
                     lo = lo + inner[np.minimum(at[row] + lo, len(data))]
                     hi = hi - inner[np.minimum(at[row] + hi, len(data))] * (at[row] + hi < at[row + 1])
-            gone = np.zeros(len(data) + 1, np.int64)
+            gone = np.zeros(len(data) + 1, np.int8)  # ranges are disjoint
             keep_range = hi > lo
             row, lo, hi = row[keep_range], lo[keep_range], hi[keep_range]
             np.add.at(gone, at[row] + lo, 1)
             np.add.at(gone, at[row] + hi, -1)
-            stays = np.cumsum(gone[:-1]) == 0
+            stays = np.cumsum(gone[:-1], dtype=np.int8) == 0
             removed = np.bincount(row, hi - lo, batch.num_rows).astype(np.int64)
             spans = np.bincount(row, minlength=batch.num_rows).astype(np.int64)
             left = data[stays].tobytes()
@@ -172,7 +172,7 @@ def cut_out(docs: DataFrame, length: int = 100, whole_characters: bool = False,
             )
 
     schema = "doc_id long, " + "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in carried)
-    out = rows.join(found, key_of(rows), "left").mapInArrow(apply, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+    out = rows.join(found, key_of(rows), "left").mapInArrow(released(apply), schema + "kept binary, n_bytes long, n_removed long, n_spans long")
     return out.withColumnsRenamed(dict(zip(carried, keep, strict=True)))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinfold.llm import words
-from kinfold.llm.common import NO_ID, lean, real_id, slices, texts_of, utf8
+from kinfold.llm.common import NO_ID, lean, real_id, released, slices, texts_of, utf8
 
 BITS = 18
 BEGINNINGS = (3, 4, 5)
@@ -134,7 +134,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None) -
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(out)], names=[*keep, "score"])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(apply, schema + ", score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(released(apply), schema + ", score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, held: int = 0) -> DataFrame:
