@@ -565,7 +565,7 @@ def _priced(spark, d):
 
 @query()
 def hac_clusters(spark, d):
-    return clustering.cluster_blocks(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, 25.0, cross=_by_prices)
+    return clustering.cluster_blocks(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, 25.0, cross=_by_prices, copies=True)
 
 
 @query()
