@@ -570,7 +570,7 @@ def hac_clusters(spark, d):
 
 @query()
 def merge_label_table(spark, d):
-    return clustering.merge_table(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, cross=_by_prices)
+    return clustering.merge_table(_priced(spark, d), "canopy", "p_partkey", ["p_retailprice"], _by_price, cross=_by_prices, copies=True)
 
 
 @query("SELECT n_regionkey, n_name FROM (SELECT n_regionkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY count(c_custkey) DESC, n_name) AS r FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2) WHERE r = 1")
