@@ -38,6 +38,12 @@ class Settings:
         """The height that the dendrogram is cut at."""
         return 1 / (1 + max(self.least, self.penalty) - min(self.penalty, 0.0))
 
+    @property
+    def copies(self) -> bool:
+        """Whether no feature can hold a mention nearer to another one than to a copy of itself."""
+        best = {"cosine": lambda f: f.weight >= 0 and not f.must_not, "shared": lambda f: f.weight >= 0 and not f.must_not, "no_match": lambda f: f.must_not or f.weight <= 0}
+        return self.penalty <= 0 and all(f.kind in best and best[f.kind](f) for f in self.features)
+
     def path(self, step: str) -> str:
         """<output>/<end as yyyymmdd or all>/<step>"""
         if self.output is None:
@@ -89,15 +95,17 @@ def distances(settings: Settings) -> Callable[[pd.DataFrame, pd.DataFrame], np.n
 def clusters(blocked: DataFrame, settings: Settings, block: str = "block", key: str = "mention") -> DataFrame:
     """block, key, label: average linkage within each block."""
     cross = distances(settings)
-    return clustering.cluster_blocks(blocked, block, key, list(settings.columns), lambda held: cross(held, held), settings.cut, settings.matrix_rows, cross)
+    return clustering.cluster_blocks(blocked, block, key, list(settings.columns), lambda held: cross(held, held), settings.cut, settings.matrix_rows, cross, settings.copies)
 
 
 def entities(labels: DataFrame, key: str = "mention") -> DataFrame:
     """key, entity: clusters of different blocks that share a mention are one entity, named by its smallest mention."""
     first = labels.groupBy("block", "label").agg(F.min(key).alias("b"))
-    edges = labels.join(first, ["block", "label"]).select(F.col(key).alias("a"), "b").distinct()
+    held = clustering.cut(labels.join(first, ["block", "label"]).select(key, "b"))  # clusters by their smallest mention
+    low = held.groupBy(key).agg(F.min("b").alias("low"), F.max("b").alias("high"))
+    edges = held.join(low.filter("low != high").select(key, "low"), key).filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
     roots = clustering.components(edges)
-    return roots.select(F.col("node").alias(key), F.col("root").alias("entity"))
+    return low.join(roots.select(F.col("node").alias("low"), "root"), "low", "left").select(key, F.coalesce("root", "low").alias("entity"))
 
 
 def finalized(mentions: DataFrame, found: DataFrame, key: str = "mention") -> DataFrame:
