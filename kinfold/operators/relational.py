@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Rows of a task where `tasks` says how many there are.
+TASK_ROWS = 400_000
+
+
+def tasks(rows: int, spark: SparkSession) -> int:
+    """The number of tasks that so many rows are dealt to, so that a task's share doesn't grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def first_by(rows: DataFrame, keys: list[str], *order: Column, n: int = 1) -> DataFrame:
     """The first n rows of each key in a total order."""
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_r") <= n).drop("_r")

@@ -189,8 +189,11 @@ def kb_link_cascade(spark, d):
 
 @query(f"SELECT DISTINCT p.p_name || '/' || o.o_custkey AS rule, CAST(count(DISTINCT p.l_orderkey) AS BIGINT) AS n FROM {PEOPLE_SQL} p JOIN orders o ON p.l_orderkey = o.o_orderkey WHERE l_linenumber < 50 GROUP BY p.p_name, o.o_custkey")
 def family_rules(spark, d):
-    rows = people(spark, d).filter("l_linenumber < 50").join(t(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.groupBy(F.concat_ws("/", "p_name", F.col("o_custkey").cast("string")).alias("rule")).agg(F.countDistinct("l_orderkey").alias("n"))
+    n = rel.tasks(t(spark, d, "lineitem").count(), spark)
+    lines = people(spark, d).filter("l_linenumber < 50").select("l_orderkey", "p_name").repartition(n, "l_orderkey").distinct()
+    rows = lines.join(t(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rules = rows.select("l_orderkey", F.concat_ws("/", "p_name", F.col("o_custkey").cast("string")).alias("rule")).distinct()
+    return rules.repartition(n, "rule").groupBy("rule").agg(count())
 
 
 # --- aggregation ----------------------------------------------------------------------------------
